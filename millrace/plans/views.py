@@ -346,6 +346,8 @@ def mutation_target(t):
 def mutations(t):
     """One mutation per customer key; some aim at keys that are not there."""
     ops = F.array(*[F.lit(op) for op in ("insert", "update", "replace", "insert_or_update", "delete")])
+    # Groups: insert with replace, update with insert_or_update, delete alone.
+    slots = F.array(*[F.lit(slot) for slot in (0, 1, 0, 1, 2)])
     key = F.col("c_custkey")
     shift = F.when(F.floor(key / 5) % 2 == 0, F.lit(1_000_000_000_000)).otherwise(0)
     return t("customer").select(
@@ -354,7 +356,7 @@ def mutations(t):
         F.concat(F.lit("new"), key).alias("first"),
         F.when(key % 3 != 0, F.concat(F.lit("seg"), key % 4)).alias("last"),
         (key % 3 != 0).alias("last_set"),
-        F.floor(key / 10).cast("long").alias("group_id"),
+        (F.floor(key / 5).cast("long") * 3 + F.element_at(slots, (key % 5 + 1).cast("int"))).alias("group_id"),
     )
 
 
@@ -363,7 +365,8 @@ SELECT ['insert', 'update', 'replace', 'insert_or_update', 'delete'][CAST(c_cust
        c_custkey + CASE WHEN (c_custkey // 5) % 2 = 0 THEN 1000000000000 ELSE 0 END AS id,
        'new' || c_custkey AS first,
        CASE WHEN c_custkey % 3 <> 0 THEN 'seg' || (c_custkey % 4) END AS last,
-       c_custkey % 3 <> 0 AS last_set, c_custkey // 10 AS group_id
+       c_custkey % 3 <> 0 AS last_set,
+       c_custkey // 5 * 3 + [0, 1, 0, 1, 2][CAST(c_custkey % 5 + 1 AS INTEGER)] AS group_id
 FROM customer
 """
 
