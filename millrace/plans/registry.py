@@ -59,6 +59,8 @@ def with_views(sql: str, uses: tuple[str, ...]) -> str:
     if not uses:
         return body
     ctes = ",\n".join(f"{name} AS ({views.SQL[name].strip()})" for name in uses)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
