@@ -83,11 +83,11 @@ def _(t):
 @query("state_batches_by_time", """
 WITH RECURSIVE t AS (SELECT DISTINCT ride_status AS k, epoch_us(ts) // 1000000 AS s,
                        CASE ride_status WHEN 'enroute' THEN 43200 ELSE 3600 END AS delay FROM rides),
-starts AS (SELECT k, min(s) AS s, any_value(delay) AS delay, CAST(0 AS BIGINT) AS batch FROM t GROUP BY k
-  UNION ALL SELECT st.k, (SELECT min(t.s) FROM t WHERE t.k = st.k AND t.s > st.s + st.delay), st.delay, st.batch + 1
-  FROM starts st WHERE st.s IS NOT NULL)
-SELECT k AS ride_status, batch, starts.s AS start_s, count(*) AS n, CAST(sum(passenger_count) AS BIGINT) AS passengers
-FROM starts JOIN rides ON ride_status = k AND epoch_us(ts) // 1000000 BETWEEN starts.s AND starts.s + delay
+nx AS (SELECT a.k, a.s, a.delay, b.s AS nxt FROM t a ASOF LEFT JOIN t b ON a.k = b.k AND a.s + a.delay < b.s),
+starts AS (SELECT nx.*, CAST(0 AS BIGINT) AS batch FROM nx JOIN (SELECT k, min(s) AS s FROM t GROUP BY k) f USING (k, s)
+  UNION ALL SELECT nx.*, st.batch + 1 FROM starts st JOIN nx ON nx.k = st.k AND nx.s = st.nxt)
+SELECT k AS ride_status, batch, s AS start_s, count(*) AS n, CAST(sum(passenger_count) AS BIGINT) AS passengers
+FROM starts JOIN rides ON ride_status = k AND epoch_us(ts) // 1000000 BETWEEN s AND s + delay
 GROUP BY ALL
 """, uses=("rides",))
 def _(t):
