@@ -19,8 +19,9 @@ class _Streamed(Tables):
     """The same views over a stream of a table's files."""
 
     def __call__(self, name):
-        path = f"{self.directory}/{name}.parquet"
-        return J.stream_files(self.spark, path, self.spark.read.parquet(path).schema)
+        schema = self.spark.read.parquet(f"{self.directory}/{name}.parquet").schema
+        # A file stream takes a folder or a glob; the brackets make a single file a glob.
+        return J.stream_files(self.spark, f"{self.directory}/{name}.parque[t]", schema)
 
 
 def _stream(t):
@@ -78,14 +79,14 @@ def _(t):
 
 @query("stream_windowed_files", """
 SELECT strftime(close, '%Y-%m-%d') AS day, strftime(close, '%H-%M') AS close, key, count(*) AS n FROM (
-  SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 1 HOUR AS close,
+  SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 1 DAY AS close,
          ride_status || CASE WHEN passenger_count > 2 THEN '-multiple' ELSE '-few' END AS key FROM rides)
 GROUP BY 1, 2, 3
 """, uses=("rides",))
 def _(t):
     key = F.concat("ride_status", F.when(F.col("passenger_count") > 2, "-multiple").otherwise("-few"))
     rides = _stream(t).view("rides")
-    path = _collect(t, lambda out, checkpoint: J.files_by_window(rides, "ts", key, out, checkpoint, 3600))
+    path = _collect(t, lambda out, checkpoint: J.files_by_window(rides, "ts", key, out, checkpoint, 86400))
     # The folder names are dates and times of day: read them as text.
     names = "event_id long, day string, close string, key string"
     return t.spark.read.schema(names).parquet(path).groupBy("day", "close", "key").agg(F.count("*").alias("n"))
