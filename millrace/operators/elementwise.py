@@ -111,11 +111,13 @@ def flatten_arrays(df: DataFrame, array: str, name: str = "item") -> DataFrame:
 def decode_json(df: DataFrame, value: str, schema: str, required: list[str], strict: bool = False) -> DataFrame:
     """Text or bytes to typed fields; rows that are no such record are dropped, or fail when ``strict``."""
     mode = "FAILFAST" if strict else "PERMISSIVE"
-    as_text = F.col(value).cast("string")
-    record = df.withColumn("_record", F.from_json(as_text, schema, {"mode": mode}))
+    parsed = F.from_json(F.col(value).cast("string"), schema, {"mode": mode})
+    others = [c for c in df.columns if c != value]
+    # `inline` parses a text once; a filter on the plain expression would parse it again.
+    record = df.select(*others, F.inline(F.array(parsed)))
     for field in required:
-        record = record.where(F.col(f"_record.{field}").isNotNull())
-    return record.select(*[c for c in df.columns if c != value], "_record.*")
+        record = record.where(F.col(field).isNotNull())
+    return record
 
 
 def parse_delimited(df: DataFrame, value: str, fields: Mapping[str, str], separator: str = ", ") -> DataFrame:

@@ -19,8 +19,8 @@ def has_field(line: Column, name: str) -> Column:
 
 
 def parse_logs(df: DataFrame, line: str, schema: str = LOG_SCHEMA) -> DataFrame:
-    """Adds the parsed record as ``log``."""
-    return df.withColumn("log", F.from_json(line, schema))
+    """Adds the parsed record as ``log``; exploded, so that each line is parsed once."""
+    return df.withColumn("log", F.explode(F.array(F.from_json(line, schema))))
 
 
 def route_logs(df: DataFrame, present: Column, severity: Column, level: str = "ERROR") -> DataFrame:

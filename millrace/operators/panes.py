@@ -17,18 +17,35 @@ from pyspark.sql import functions as F
 from millrace.functions.times import SECOND, micros, window_start
 from millrace.operators.scale import broadcast_if_small
 from millrace.operators.triggers import END_OF_TIME, Trigger, WindowFold
+from millrace.session import materialize
 
 TICK_SECONDS = 600
 CLOCK_BLOCK = 4096
 
 
-def watermark_clock(arrivals: DataFrame, ts: str = "ts", batch: str = "batch_id") -> DataFrame:
+def summaries(
+    arrivals: DataFrame, keys: Sequence[str], size_seconds: int, value: str, ts: str = "ts", batch: str = "batch_id"
+) -> DataFrame:
+    """One row per (keys, window, batch) with count, sum, first and last event time.
+
+    The log is read once, here: the watermark and the panes both come from these rows,
+    which are therefore written to the checkpoint folder.
+    """
+    time = micros(F.col(ts))
+    start = window_start(time, size_seconds * SECOND).alias("window_start")
+    folded = arrivals.groupBy(*keys, start, F.col(batch).alias("batch_id")).agg(
+        F.count("*").alias("n"), F.sum(value).alias("total"), F.min(time).alias("first_us"), F.max(time).alias("last_us")
+    )
+    return materialize(folded)
+
+
+def watermark_clock(rows: DataFrame) -> DataFrame:
     """Per batch the watermark it sees and the one it leaves: (batch_id, wm_before, wm_after).
 
     The watermark is the largest event time so far; the first batch sees none. The
     running maximum goes over blocks of batches and then within each block.
     """
-    tops = arrivals.groupBy(F.col(batch).alias("batch_id")).agg(F.max(micros(F.col(ts))).alias("_top"))
+    tops = rows.groupBy("batch_id").agg(F.max("last_us").alias("_top"))
     tops = tops.withColumn("_block", F.floor(F.col("batch_id") / CLOCK_BLOCK).cast("long"))
     earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = tops.groupBy("_block").agg(F.max("_top").alias("_block_top"))
@@ -36,20 +53,10 @@ def watermark_clock(arrivals: DataFrame, ts: str = "ts", batch: str = "batch_id"
     within = Window.partitionBy("_block").orderBy("batch_id")
     up_to = F.max("_top").over(within.rowsBetween(Window.unboundedPreceding, 0))
     before = F.max("_top").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    return tops.join(blocks, "_block").select(
+    clock = tops.join(blocks, "_block").select(
         "batch_id", F.greatest("_base", before).alias("wm_before"), F.greatest("_base", up_to).alias("wm_after")
     )
-
-
-def summaries(
-    arrivals: DataFrame, keys: Sequence[str], size_seconds: int, value: str, ts: str = "ts", batch: str = "batch_id"
-) -> DataFrame:
-    """One row per (keys, window, batch) with count, sum, first and last event time."""
-    time = micros(F.col(ts))
-    start = window_start(time, size_seconds * SECOND).alias("window_start")
-    return arrivals.groupBy(*keys, start, F.col(batch).alias("batch_id")).agg(
-        F.count("*").alias("n"), F.sum(value).alias("total"), F.min(time).alias("first_us"), F.max(time).alias("last_us")
-    )
+    return materialize(clock)
 
 
 def _window_end(size_seconds: int) -> Column:
@@ -72,9 +79,8 @@ def late_data(
     arrivals: DataFrame, keys: Sequence[str], value: str, size_seconds: int = 600, lateness_seconds: int = 300
 ) -> DataFrame:
     """Per key and window how many elements are on time, late but allowed, and dropped."""
-    judged = with_lateness(
-        summaries(arrivals, keys, size_seconds, value), watermark_clock(arrivals), size_seconds, lateness_seconds
-    )
+    rows = summaries(arrivals, keys, size_seconds, value)
+    judged = with_lateness(rows, watermark_clock(rows), size_seconds, lateness_seconds)
     return judged.groupBy(*keys, "window_start").agg(
         F.sum(F.when(~F.col("late"), F.col("n")).otherwise(0)).alias("on_time"),
         F.sum(F.when(F.col("late") & ~F.col("dropped"), F.col("n")).otherwise(0)).alias("late"),
@@ -103,9 +109,8 @@ def default_panes(
 
     Accumulating panes hold all of the window so far, discarding ones only what is new.
     """
-    judged = with_lateness(
-        summaries(arrivals, keys, size_seconds, value), watermark_clock(arrivals), size_seconds, lateness_seconds
-    )
+    rows = summaries(arrivals, keys, size_seconds, value)
+    judged = with_lateness(rows, watermark_clock(rows), size_seconds, lateness_seconds)
     pane = F.when(F.col("late"), F.col("batch_id")).otherwise(F.lit(-1).cast("long"))
     panes = (
         judged.where(~F.col("dropped"))
@@ -260,11 +265,12 @@ def assign_panes(
     tick_seconds: int = TICK_SECONDS,
 ) -> DataFrame:
     """The summary rows of fixed windows, each with the pane it goes out with (null when dropped)."""
-    clock = watermark_clock(arrivals)
-    edges = arrivals.agg(F.min(micros(F.col("ts"))).alias("first_us"))
+    rows = summaries(arrivals, keys, size_seconds, value)
+    clock = watermark_clock(rows)
+    edges = rows.agg(F.min("first_us").alias("first_us"))
     ends = clock.agg((F.max("batch_id") + 1).alias("seq"))
     crossings = watermark_crossings(clock, edges.scalar(), size_seconds, lateness_seconds)
-    rows = summaries(arrivals, keys, size_seconds, value).join(crossings, "window_start", "left")
+    rows = rows.join(crossings, "window_start", "left")
     # Windows the watermark never reaches are closed by the end of the input.
     rows = rows.withColumn("ontime_seq", F.coalesce("ontime_seq", ends.scalar()))
     rows = rows.withColumn("expiry_seq", F.coalesce("expiry_seq", ends.scalar()))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
@@ -59,7 +61,7 @@ def position_in_key(
         numbering = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(numbering).cast("long"))
 
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ranged = materialize(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
     split = [*keys, "_part"]
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

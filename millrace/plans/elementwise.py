@@ -18,13 +18,11 @@ def _(t):
 
 
 @query("flatmap_split", r"""
-SELECT doc_id, word, count(*) AS n FROM (
-  SELECT doc_id, unnest(string_split_regex(text, '[ \t\n\x0B\f\r]+')) AS word FROM documents)
-WHERE word <> '' GROUP BY ALL
+SELECT word, count(*) AS n FROM (
+  SELECT unnest(string_split_regex(text, '[ \t\n\x0B\f\r]+')) AS word FROM documents) WHERE word <> '' GROUP BY word
 """)
 def _(t):
-    split = E.split_words(t("documents").select("doc_id", "text"), "text")
-    return split.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    return E.split_words(t("documents").select("text"), "text").groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("flatmap_divisors", """

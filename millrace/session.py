@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE splits skewed join and rebalance
 # partitions at run time; UTC keeps event-time arithmetic zone-free.
@@ -69,6 +69,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes the rows to the shared checkpoint folder once and goes on from there."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; nothing is there yet."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ over or a buffer is released.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ PANE_STATE = (
 )
 
 
+ITEMS_PER_ROW = 10_000
+
+
 def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
@@ -129,21 +133,28 @@ class CountBuffer(StatefulProcessor):
         self.meta = handle.getValueState("meta", "held int, batch long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # The store is read and written once per micro-batch, not once per row.
         held, batch = self.meta.get() if self.meta.exists() else (0, 0)
+        items = [v[0] for v in self.values.get()] if held else []
         for row in rows:
-            self.values.appendValue((row["_value"],))
-            held += 1
-            if held >= row["_limit"]:
-                yield Row(key=key[0], batch=batch, items=[v[0] for v in self.values.get()])
-                self.values.clear()
-                held, batch = 0, batch + 1
-        self.meta.update((held, batch))
+            items.append(row["_value"])
+            if len(items) >= row["_limit"]:
+                yield Row(key=key[0], batch=batch, items=items)
+                items, batch = [], batch + 1
+        if items:
+            self.values.put([(item,) for item in items])
+        elif held:
+            self.values.clear()
+        self.meta.update((len(items), batch))
 
     def close(self) -> None: ...
 
 
 class TimeBuffer(StatefulProcessor):
-    """Holds the values of a key; the first sets a processing-time timer that releases them."""
+    """Holds the values of a key; the first sets a processing-time timer that releases them.
+
+    A release is as many rows of at most ``ITEMS_PER_ROW`` values as it needs.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -152,9 +163,9 @@ class TimeBuffer(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         delay = 0
-        for row in rows:
-            delay = row["_limit"]
-            self.values.appendValue((row["_value"],))
+        while piece := list(islice(rows, ITEMS_PER_ROW)):
+            delay = piece[0]["_limit"]
+            self.values.appendList([(row["_value"],) for row in piece])
         if not self.due.exists():
             at = timerValues.getCurrentProcessingTimeInMs() + delay * 1000
             self.handle.registerTimer(at)
@@ -162,7 +173,9 @@ class TimeBuffer(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(key=key[0], batch=self.due.get()[0], items=[v[0] for v in self.values.get()])
+        at, held = self.due.get()[0], self.values.get()
+        while piece := list(islice(held, ITEMS_PER_ROW)):
+            yield Row(key=key[0], batch=at, items=[v[0] for v in piece])
         self.values.clear()
         self.due.clear()
 
