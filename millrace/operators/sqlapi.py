@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 # The name under which SQL over a single input sees it.
 SINGLE_INPUT = "PCOLLECTION"
@@ -22,12 +23,12 @@ def sql_over_named(spark: SparkSession, query: str, inputs: dict[str, DataFrame]
     return spark.sql(query)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def more_than_5_years(years: pd.Series) -> pd.Series:
     return years >= 5.0
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def append_jobs(jobs: pd.Series) -> str:
     """Joined texts of a group, sorted because a group has no order."""
     return ", ".join(sorted(jobs))

@@ -90,13 +90,24 @@ def _(t):
 
 
 @query("sql_udaf", """
-SELECT name, chunk, string_agg(job, ', ' ORDER BY job) AS jobs FROM (
-  SELECT s_name AS name, l_returnflag AS job, (row_number() OVER (PARTITION BY s_name
+WITH work AS (SELECT s_name AS name, l_returnflag AS job, l_quantity, (row_number() OVER (PARTITION BY s_name
     ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey) - 1) // 500 AS chunk
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) GROUP BY name, chunk
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+totals AS (SELECT name, round(sum(l_quantity) / 10, 2) AS total_years, sum(l_quantity) / 10 >= 5.0 AS more FROM work GROUP BY name)
+SELECT name, total_years, more, chunk, jobs FROM totals
+JOIN (SELECT name, chunk, string_agg(job, ', ' ORDER BY job) AS jobs FROM work GROUP BY name, chunk) USING (name)
 """)
 def _(t):
+    """A Python aggregate cannot stand next to built-in ones, so each has its own grouping.
+
+    It also holds its group in one task: it runs on bounded chunks of a name.
+    """
     S.register_functions(t.spark)
-    # A grouped Python aggregate holds its group in one task, so it runs on bounded chunks.
     chunked = chunk_in_key(_work(t), ["name"], ["job", "l_orderkey", "l_linenumber", "l_partkey"], 500)
-    return S.sql_over(chunked, "SELECT name, chunk, AppendJobs(job) AS jobs FROM PCOLLECTION GROUP BY name, chunk")
+    return S.sql_over(
+        chunked,
+        """WITH totals AS (SELECT name, round(SUM(years_worked), 2) AS total_years, MoreThan5Years(SUM(years_worked)) AS more
+                          FROM PCOLLECTION GROUP BY name),
+           texts AS (SELECT name, chunk, AppendJobs(job) AS jobs FROM PCOLLECTION GROUP BY name, chunk)
+           SELECT name, total_years, more, chunk, jobs FROM totals JOIN texts USING (name)""",
+    )
