@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregate import CHUNK_ROWS, group_values
-from millrace.operators.scale import attach_all, broadcast_if_small, skew_join
+from millrace.operators.scale import attach_all, is_small, skew_join
 
 
 def cogroup(
@@ -60,7 +60,10 @@ def map_side_input(
         if default is not None
         else F.raise_error(F.concat(F.lit("key is not in the lookup: "), F.col(key).cast("string")))
     )
-    joined = df.join(broadcast_if_small(side), key, "left")
+    if is_small(side):
+        joined = df.join(F.broadcast(side), key, "left")
+    else:
+        joined = skew_join(df, side, key, "left", [c for c in df.columns if c != key])
     return joined.withColumn(value, F.when(F.col("_found"), F.col(value)).otherwise(missing)).drop("_found")
 
 

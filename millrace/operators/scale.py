@@ -133,17 +133,26 @@ def skew_join(
     return left.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
 
 
-def attach_all(df: DataFrame, side: DataFrame, slices: int = 64) -> DataFrame:
+def attach_all(df: DataFrame, side: DataFrame, side_rows: int = 10_000, spread: int = 64) -> DataFrame:
     """Every row of ``df`` with every row of ``side``, as an iterable side input gives it.
 
     A side of checked size is gathered into one array value and exploded in the map
-    stage. A larger side is cut into ``slices`` that ``df`` meets one after the other
-    through an equi-join on the slice number, so no task holds the whole side.
+    stage. A larger side is cut into slices of about ``side_rows`` and ``df`` into
+    ``spread`` parts; each part meets each slice through an equi-join on the two
+    numbers, so a task holds one slice only.
     """
     fields = side.columns
-    if is_small(side):
+    if is_small(side, side_rows, 4 * 1024 * 1024):
         gathered = side.agg(F.collect_list(F.struct(*fields)).alias("items")).scalar()
         return df.withColumn("_item", F.explode(gathered)).select(*df.columns, *[f"_item.{c}" for c in fields])
-    number = F.pmod(F.xxhash64(*fields), F.lit(slices)).cast("int")
-    repeated = df.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return repeated.join(side.withColumn("_slice", number), "_slice").select(*df.columns, *fields)
+    slices = side.count() // side_rows + 1
+
+    def number(frame: DataFrame, parts: int) -> Column:
+        return F.pmod(F.xxhash64(*frame.columns), F.lit(parts)).cast("int")
+
+    def all_of(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    left = df.withColumn("_part", number(df, spread)).withColumn("_slice", all_of(slices))
+    right = side.withColumn("_slice", number(side, slices)).withColumn("_part", all_of(spread))
+    return left.join(right, ["_part", "_slice"]).select(*df.columns, *fields)

@@ -47,7 +47,7 @@ def _(t):
 
 @query("sql_hop", """
 SELECT epoch_us(start) AS start_us, epoch_us(start + INTERVAL 1 DAY) AS end_us,
-       round(sum(meter_reading) / sum(passenger_count), 4) AS per_passenger
+       round(sum(meter_reading) / nullif(sum(passenger_count), 0), 4) AS per_passenger
 FROM (SELECT *, unnest([time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01'),
         time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 12 HOUR]) AS start
       FROM rides WHERE ride_status = 'dropoff')

@@ -57,7 +57,7 @@ def _(t):
 
 
 @query("sql_windowed_stream", PASSED.format(where="= 'dropoff'", lateness=300) + """
-SELECT window_start, count(*) AS n, round(sum(meter_reading) / sum(passenger_count), 4) AS per_passenger,
+SELECT window_start, count(*) AS n, round(sum(meter_reading) / nullif(sum(passenger_count), 0), 4) AS per_passenger,
   epoch_us(max(ts)) AS last_us
 FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 21600000000 AS window_start FROM kept), bound
 WHERE window_start + 21600000000 <= wm GROUP BY window_start

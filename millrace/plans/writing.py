@@ -304,7 +304,7 @@ def _(t):
     path = scratch_path(t.spark, "sink-cells")
     after = stores.apply_cells(t.view("cells"), updates.withColumn("seq", F.lit(1)), "seq")
     # Sorted by key, so that a key range reads few row groups.
-    after.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(path)
+    after.repartitionByRange(*stores.CELL_KEY).sortWithinPartitions(*stores.CELL_KEY).write.parquet(path)
     return t.spark.read.parquet(path)
 
 
@@ -336,7 +336,7 @@ WITH {APPLIED.strip()}, grouped AS (SELECT * REPLACE (bool_and(valid) OVER (PART
 """, uses=("mutations",))
 def _(t):
     judged = stores.judge_mutations(t.view("mutation_target"), t.view("mutations"), "id")
-    grouped = stores.judge_groups(judged, "group_id")
+    grouped = stores.judge_groups(judged, "group_id", "id")
     return stores.apply_mutations(t.view("mutation_target"), grouped, "id", {"last": "last_set"})
 
 

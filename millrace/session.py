@@ -49,24 +49,21 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
+    """The folder all executors share, from ``spark.checkpoint.dir``, as a full URI.
 
-    Only a local session may fall back to a temporary folder of this machine;
-    on a cluster such a folder is not visible to the executors, so the setting
-    is required there.
+    Only a local session may fall back to a temporary folder of this machine; on a
+    cluster such a folder is not visible to the executors, so the setting is required.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = getattr(spark, "_millrace_scratch", None)
-    if not root:
+    wanted = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    current = context.getCheckpointDir()
+    if wanted and (current is None or wanted.rstrip("/") not in current):
+        context.setCheckpointDir(wanted)
+    elif current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark._millrace_scratch = root
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:

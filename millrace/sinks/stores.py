@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.scale import skew_join
+
 CELL_KEY = ("row_key", "family", "qualifier", "ts_micros")
 
 # The five row operations.
@@ -67,11 +69,12 @@ def apply_mutations(target: DataFrame, judged: DataFrame, key: str, set_flags: M
     return joined.select(key, *[after(c).alias(c) for c in columns])
 
 
-def judge_groups(judged: DataFrame, group: str) -> DataFrame:
+def judge_groups(judged: DataFrame, group: str, key: str) -> DataFrame:
     """Atomic groups: a mutation is valid only when all of its group are."""
     verdict = judged.groupBy(group).agg(F.every("valid").alias("_all"))
     rejected = verdict.where(~F.col("_all")).select(group, F.lit(False).alias("_ok"))
-    return judged.join(rejected, group, "left").withColumn("valid", F.coalesce("_ok", F.lit(True))).drop("_ok")
+    # The rejected groups have one row each; a hot group is split by the mutations' key.
+    return skew_join(judged, rejected, group, "left", [key]).withColumn("valid", F.coalesce("_ok", F.lit(True))).drop("_ok")
 
 
 def entities(df: DataFrame, text: Column, properties: Mapping[str, Column], namespace: str) -> DataFrame:

@@ -64,9 +64,13 @@ def write_destinations(
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
-    """Folders by ``partition``, rows of a file sorted by the cluster columns."""
-    ranged = df.repartitionByRange(partition, *cluster)
-    ranged.sortWithinPartitions(partition, *cluster).write.partitionBy(partition).parquet(path)
+    """Folders by ``partition``, rows of a file sorted by the cluster columns.
+
+    The rebalance gives a partition value as many tasks as its size asks for, so a hot
+    value, or many copies of one row, never make one huge file.
+    """
+    together = df.hint("rebalance", partition)
+    together.sortWithinPartitions(partition, *cluster).write.partitionBy(partition).parquet(path)
 
 
 def split_rejected(df: DataFrame, target: str | StructType, table: str) -> DataFrame:

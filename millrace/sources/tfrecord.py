@@ -184,8 +184,14 @@ class TfRecordSource(DataSource):
         return "record binary"
 
     def _uri(self) -> str:
+        """The path as a URI the file system library knows."""
         path = self.options["path"]
-        return path if "://" in path or path.startswith("file:") else f"file://{path}"
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return "file:///" + rest.lstrip("/")
+        if scheme in ("s3a", "s3n"):
+            return f"s3:{rest}"
+        return path if "://" in path else f"file://{path}"
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self._uri())

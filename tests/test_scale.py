@@ -50,7 +50,7 @@ def test_attach_all_beyond_the_bound(spark, skewed, monkeypatch):
     want = rows(few.crossJoin(side), "id", "s")
     assert rows(scale.attach_all(few, side), "id", "s") == want
     monkeypatch.setattr(scale, "is_small", lambda *a, **k: False)
-    sliced = scale.attach_all(few, side, slices=4)
+    sliced = scale.attach_all(few, side, side_rows=8, spread=4)
     assert rows(sliced, "id", "s") == want
     assert "Cartesian" not in sliced._jdf.queryExecution().executedPlan().toString()
 

@@ -92,7 +92,7 @@ def test_mutations(spark):
     after = stores.apply_mutations(target, judged, "id", {"last": "last_set"})
     assert sorted(map(tuple, after.collect())) == [(1, "a", "x"), (2, "n", "y"), (3, "n", None), (9, "n", "n")]
     # Group 2 has an update of a missing key, so its insert is not applied either.
-    grouped = stores.apply_mutations(target, stores.judge_groups(judged, "g"), "id", {"last": "last_set"})
+    grouped = stores.apply_mutations(target, stores.judge_groups(judged, "g", "id"), "id", {"last": "last_set"})
     assert 9 not in [r.id for r in grouped.collect()]
     with pytest.raises(Exception, match="two mutations for key"):
         stores.judge_mutations(target, mutations.unionByName(mutations), "id").collect()

@@ -160,3 +160,34 @@ def test_sliding_when_slide_does_not_divide_size(spark):
     plain = events.groupBy(F.window("ts", "50 seconds", "20 seconds"), "k").agg(F.count("*").alias("n"))
     want = rows(plain.select(F.unix_micros("window.start").alias("w"), "n"))
     assert rows(got.select("window_start", "n")) == want
+
+
+def test_metrics_of_a_pass_through(spark):
+    rides = spark.createDataFrame(
+        [("pickup", 3, 0.0), ("dropoff", 2, 1.5), ("dropoff", 1, 2.25), ("enroute", 9, 4.0)], "s string, p int, c double"
+    )
+    passed, observation = E.observe_metrics(rides, E.metric_columns("s", "p", "c"))
+    assert passed.count() == 4
+    got = observation.get
+    assert (got["pickups"], got["dropoffs"], got["enroutes"], got["net_people"]) == (1, 2, 1, 0)
+    assert (got["cost_count"], got["cost_sum"], got["cost_min"], got["cost_max"]) == (2, 3750, 1500, 2250)
+
+
+def test_partition_life_cycle(spark):
+    class Log(E.PartitionFn):
+        def setup(self):
+            self.calls = ["setup"]
+
+        def start_batch(self):
+            self.calls.append("start")
+
+        def process(self, batch):
+            self.calls.append("process")
+
+        def finish_batch(self):
+            import pandas as pd
+
+            return pd.DataFrame({"calls": [",".join(self.calls)]})
+
+    seen = E.map_partitions(spark.range(5).coalesce(1), Log, "calls string")
+    assert rows(seen) == [("setup,start,process",)]
