@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby, islice
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.rows import map_rows
 from millrace.operators.scale import chunk_in_key
 
 CHUNK_ROWS = 10_000
+PIECE_ROWS = 10_000
 
 
 def count_global(df: DataFrame) -> DataFrame:
@@ -99,9 +102,6 @@ class Combiner:
     result: str
     add_all: Callable[[tuple, pd.Series], tuple] | None = None
 
-    def fields(self) -> list[str]:
-        return [part.split()[0] for part in self.accumulator.split(",")]
-
 
 def combine_per_key(
     df: DataFrame,
@@ -119,48 +119,37 @@ def combine_per_key(
     one accumulator per task that saw it and is never gathered.
     """
     keys = list(keys)
-    key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
-    fields = combiner.fields()
     width = len(keys)
+    key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
-    def rows(held: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *acc) for key, acc in held.items()], columns=[*keys, *fields])
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: dict = {}
-        for batch in batches:
+        while piece := list(islice(rows, PIECE_ROWS)):
             if combiner.add_all is not None:
-                for key, group in batch.groupby(keys, sort=False, dropna=False):
-                    held[key] = combiner.add_all(held.get(key) or combiner.create(), group[value])
+                values: dict = {}
+                for row in piece:
+                    values.setdefault(row[:width], []).append(row[width])
+                for key, items in values.items():
+                    held[key] = combiner.add_all(held.get(key) or combiner.create(), pd.Series(items))
             else:
-                for row in batch[[*keys, value]].itertuples(index=False, name=None):
+                for row in piece:
                     key = row[:width]
                     held[key] = combiner.add(held.get(key) or combiner.create(), row[width])
             if len(held) >= held_keys:
-                yield rows(held)
+                yield from (key + acc for key, acc in held.items())
                 held = {}
-        if held:
-            yield rows(held)
-
-    def merge_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, acc = None, None
-        for batch in batches:
-            done = []
-            for row in batch.itertuples(index=False, name=None):
-                key, part = row[:width], row[width:]
-                if current is not None and key != current:
-                    done.append((*current, combiner.extract(acc)))
-                    acc = None
-                current = key
-                acc = combiner.merge(acc if acc is not None else combiner.create(), part)
-            if done:
-                yield pd.DataFrame(done, columns=[*keys, name])
-        if current is not None:
-            yield pd.DataFrame([(*current, combiner.extract(acc))], columns=[*keys, name])
-
-    partials = df.select(*keys, value).mapInPandas(partial, f"{key_types}, {combiner.accumulator}")
+        yield from (key + acc for key, acc in held.items())
+
+    def merge_runs(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for key, parts in groupby(rows, key=lambda row: row[:width]):
+            acc = combiner.create()
+            for part in parts:
+                acc = combiner.merge(acc, part[width:])
+            yield (*key, combiner.extract(acc))
+
+    partials = map_rows(df.select(*keys, value), partial, f"{key_types}, {combiner.accumulator}")
     together = partials.repartition(*keys).sortWithinPartitions(*keys)
-    return together.mapInPandas(merge_runs, f"{key_types}, {name} {combiner.result}")
+    return map_rows(together, merge_runs, f"{key_types}, {name} {combiner.result}")
 
 
 def combine_globally(df: DataFrame, value: str, combiner: Combiner, name: str = "result") -> DataFrame:

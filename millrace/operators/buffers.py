@@ -6,12 +6,13 @@ The streaming forms are in :mod:`millrace.streaming.processors`.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.times import SECOND
+from millrace.operators.rows import map_rows
 from millrace.operators.scale import position_in_key
 from millrace.operators.windows import _merge
 
@@ -48,22 +49,21 @@ def batches_by_time(
     second = F.floor(F.unix_micros(ts) / F.lit(tick_seconds * SECOND)).cast("long") * tick_seconds
     ticks = df.groupBy(*keys, second.alias("_s"), delay.cast("long").alias("_delay")).agg(*aggregates)
     names = list(merge)
+    width = len(keys)
 
-    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, start, number = None, None, 0
-        for pdf in batches:
-            starts, numbers = [], []
-            rows = pdf[[*keys, "_s", "_delay"]].itertuples(index=False, name=None)
-            for *row_key, second, wait in rows:
-                if row_key != key:
-                    key, start, number = row_key, second, 0
-                elif second > start + wait:
-                    start, number = second, number + 1
-                starts.append(start)
-                numbers.append(number)
-            yield pdf.assign(start_s=starts, batch=numbers)[[*keys, "batch", "start_s", *names]]
+    def replay(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for key, group in groupby(rows, key=lambda row: row[:width]):
+            start, number = None, -1
+            for row in group:
+                tick, wait = row[width], row[width + 1]
+                if start is None or tick > start + wait:
+                    start, number = tick, number + 1
+                yield (*key, number, start, *row[width + 2 :])
 
     types = {f.name: f.dataType.simpleString() for f in ticks.schema}
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "batch long", "start_s long", *(f"`{n}` {types[n]}" for n in names)])
-    ordered = ticks.repartition(*keys).sortWithinPartitions(*keys, "_s")
-    return ordered.mapInPandas(replay, schema).groupBy(*keys, "batch", "start_s").agg(*_merge(merge))
+    schema = ", ".join(
+        [*(f"`{k}` {types[k]}" for k in keys), "batch long", "start_s long", *(f"`{n}` {types[n]}" for n in names)]
+    )
+    columns = ticks.select(*keys, "_s", "_delay", *names)
+    ordered = columns.repartition(*keys).sortWithinPartitions(*keys, "_s")
+    return map_rows(ordered, replay, schema).groupBy(*keys, "batch", "start_s").agg(*_merge(merge))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions import numbers, text
+from millrace.operators.scale import fill_cores
 
 
 def create_range(spark: SparkSession, count: int = 10, extra: int | None = None) -> DataFrame:
@@ -29,7 +30,7 @@ def double_and_square(df: DataFrame, value: str) -> DataFrame:
 
 def split_words(df: DataFrame, value: str, name: str = "word") -> DataFrame:
     """One row per white-space separated word."""
-    return df.withColumn(name, F.explode(text.whitespace_words(F.col(value)))).drop(value)
+    return fill_cores(df).withColumn(name, F.explode(text.whitespace_words(F.col(value)))).drop(value)
 
 
 def explode_divisors(df: DataFrame, n: str, name: str = "divisor") -> DataFrame:
@@ -139,7 +140,7 @@ def key_by(df: DataFrame, key: Column, value: Column, key_name: str = "key", val
 def word_count(df: DataFrame, value: str, letters_only: bool = False) -> DataFrame:
     """Composite transform: split into words, count each."""
     pieces = text.letter_words(F.col(value)) if letters_only else text.words(F.col(value))
-    return df.select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return fill_cores(df.select(value)).select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def count_at_least(df: DataFrame, value: str, minimum: int, strict: bool = False) -> DataFrame:

@@ -9,12 +9,13 @@ shuffled, and the groups that are replayed hold ticks, not elements.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.times import SECOND, micros, window_start
+from millrace.operators.rows import map_rows
 from millrace.operators.scale import broadcast_if_small
 from millrace.operators.triggers import END_OF_TIME, Trigger, WindowFold
 from millrace.session import materialize
@@ -182,12 +183,12 @@ def replay(fold_rows: DataFrame, keys: Sequence[str], trigger: Trigger, size_us:
     Rows of a (key, window) stream through in batch order and only the open pane is held.
     ``pane_index`` is null for rows that a finished trigger or the end of lateness drops.
     """
-    group = [*keys, "window_start"]
+    group_columns = [*keys, "window_start"]
     columns = fold_rows.columns
     types = {f.name: f.dataType.simpleString() for f in fold_rows.schema}
     schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", pane_index long, pane_timing string, fired_seq long"
     where = {c: i for i, c in enumerate(columns)}
-    key_at = [where[c] for c in group]
+    key_at = [where[c] for c in group_columns]
     start_at, seq_at, n_at = where["window_start"], where["batch_id"], where["n"]
     ontime_at, expiry_at = where["ontime_seq"], where["expiry_seq"]
 
@@ -229,30 +230,18 @@ def replay(fold_rows: DataFrame, keys: Sequence[str], trigger: Trigger, size_us:
             self.advance(END_OF_TIME)
             return self.out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, running = None, None
-        for pdf in batches:
-            done: list[tuple] = []
-            for row in pdf.itertuples(index=False, name=None):
-                key = tuple(row[i] for i in key_at)
-                if key != current:
-                    if running is not None:
-                        done.extend(running.finish())
-                    current, running = key, Run(row)
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, group in groupby(rows, key=lambda row: tuple(row[i] for i in key_at)):
+            running = None
+            for row in group:
+                running = running or Run(row)
                 running.add(row)
-                if running.out:
-                    done.extend(running.out)
-                    running.out = []
-            yield _frame(done)
-        if running is not None:
-            yield _frame(running.finish())
-
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=[*columns, "pane_index", "pane_timing", "fired_seq"])
-        return frame.astype({"pane_index": "Int64", "fired_seq": "Int64"})
-
-    ordered = fold_rows.repartition(*group).sortWithinPartitions(*group, "batch_id")
-    return ordered.mapInPandas(run, schema)
+                yield from running.out
+                running.out = []
+            yield from running.finish()
+
+    ordered = fold_rows.repartition(*group_columns).sortWithinPartitions(*group_columns, "batch_id")
+    return map_rows(ordered, run, schema)
 
 
 def assign_panes(

@@ -14,6 +14,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
 
 
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spreads an input of fewer splits than cores before work that is heavy per row.
+
+    A large input has more splits than cores and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when the frame has been counted and fits the two bounds.
 

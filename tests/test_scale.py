@@ -73,3 +73,15 @@ def test_batches_by_time_against_a_loop(spark):
                 start, batch = s, batch + 1
             want[(k, batch, start)] = want.get((k, batch, start), 0) + 1
     assert {(r.k, r.batch, r.start_s): r.n for r in got.collect()} == want
+
+
+def test_null_and_large_integer_keys(spark):
+    from millrace.operators import aggregate
+
+    big = (1 << 62) + 1
+    frame = spark.createDataFrame([(big, 1), (None, 2), (big, 3), (None, 4), (7, 5)], "k long, v long").repartition(3)
+    sums = aggregate.aggregate_by_key(frame, ["k"], "v", 0, lambda a, v: a + v, lambda a, b: a + b, "long", "s")
+    assert {r.k: r.s for r in sums.collect()} == {big: 4, None: 6, 7: 5}
+    timed = frame.withColumn("ts", F.timestamp_seconds("v"))
+    buffered = buffers.batches_by_time(timed, ["k"], "ts", 1, [F.count("*").alias("n")], {"n": "sum"})
+    assert rows(buffered, "k", "batch", "n") == sorted([(big, 0, 1), (big, 1, 1), (None, 0, 1), (None, 1, 1), (7, 0, 1)], key=str)
