@@ -179,13 +179,13 @@ def aggregate_by_key(
     return combine_per_key(df, keys, value, combiner, name)
 
 
-# The mean as a combiner: (sum, count).
+# The mean of the values that are not null as a combiner: (sum, count).
 MEAN = Combiner(
     create=lambda: (0.0, 0),
-    add=lambda acc, x: (acc[0] + x, acc[1] + 1),
+    add=lambda acc, x: acc if x is None else (acc[0] + x, acc[1] + 1),
     merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
     extract=lambda acc: acc[0] / acc[1] if acc[1] else None,
     accumulator="total double, n long",
     result="double",
-    add_all=lambda acc, xs: (acc[0] + float(xs.sum()), acc[1] + len(xs)),
+    add_all=lambda acc, xs: (acc[0] + float(xs.sum()), acc[1] + int(xs.count())),
 )

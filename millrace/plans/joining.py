@@ -79,7 +79,7 @@ def _names_and_jobs(t):
     names = t("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("family"))
     jobs = (
         t("orders")
-        .where(F.col("o_custkey") % 2 == 0)
+        .where(F.col("o_orderpriority") == "1-URGENT")
         .groupBy(F.col("o_custkey").alias("custkey"))
         .agg(F.count("*").alias("job"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("salary"))
     )
@@ -87,7 +87,7 @@ def _names_and_jobs(t):
 
 
 JOBS = """jobs AS (SELECT o_custkey AS custkey, count(*) AS job,
-  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS salary FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1)"""
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS salary FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)"""
 
 
 @query("sql_left_join", f"WITH {JOBS} SELECT c_name AS name, job FROM customer LEFT JOIN jobs ON c_custkey = custkey")

@@ -270,11 +270,11 @@ def _(t):
 
 @query("wide_key_range_regex", """
 SELECT row_key, qualifier, value FROM cells
-WHERE row_key >= 'row_key0000100' AND row_key < 'row_key0001500' AND contains(row_key, 'row_key0')
+WHERE row_key >= 'row_key0000100' AND row_key < 'row_key9' AND contains(row_key, 'row_key')
   AND regexp_full_match(value, '.*a.*')
 """, uses=("cells",))
 def _(t):
-    kept = stores.filter_cells(t.view("cells"), "row_key0000100", "row_key0001500", ".*a.*", "row_key0")
+    kept = stores.filter_cells(t.view("cells"), "row_key0000100", "row_key9", ".*a.*", "row_key")
     return kept.select("row_key", "qualifier", "value")
 
 

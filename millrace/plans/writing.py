@@ -207,10 +207,10 @@ def _(t):
     return users.unionByName(countries, allowMissingColumns=True).select("destination", "name", "year", "country")
 
 
-@query("sink_partition_cluster", "SELECT name, date, country FROM person_dates WHERE date >= DATE '1997-01-01'", uses=("person_dates",))
+@query("sink_partition_cluster", "SELECT name, date, country FROM person_dates", uses=("person_dates",))
 def _(t):
     path = scratch_path(t.spark, "sink-clustered")
-    dated = t.view("person_dates").select("name", "date", "country").where("date >= date '1997-01-01'")
+    dated = t.view("person_dates").select("name", "date", "country")
     # Months as folders keep their number small; the full date stays a column.
     tables.write_partitioned(dated.withColumn("month", F.trunc("date", "month")), path, "month", ["date", "country"])
     return t.spark.read.parquet(path).select("name", "date", "country")
@@ -287,15 +287,15 @@ def _(t):
 
 @query("wide_cells_write", """
 SELECT row_key, family, qualifier, ts_micros,
-  CASE WHEN qualifier = 'field0' AND CAST(substr(row_key, 8) AS BIGINT) % 4 = 0 THEN upper(value) ELSE value END AS value
-FROM cells
+  CASE WHEN qualifier = 'field0' AND p_size > 25 THEN upper(value) ELSE value END AS value
+FROM cells JOIN part ON row_key = printf('row_key%07d', p_partkey)
 """, uses=("cells",))
 def _(t):
     from millrace.plans.views import CELL_TS_MICROS
 
     key = F.col("p_partkey")
     updates = stores.set_cells(
-        t("part").where(key % 4 == 0),
+        t("part").where("p_size > 25"),
         F.format_string("row_key%07d", key),
         F.lit("cf1"),
         [F.upper("p_name")],
@@ -342,14 +342,14 @@ def _(t):
 
 @query("entity_upsert", """
 SELECT 'people' AS namespace, md5(name) AS key, name,
-       printf('%.1f', CAST(year + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS DOUBLE)) AS year FROM persons
+       printf('%.1f', CAST(year + CASE WHEN year > 1997 THEN 1 ELSE 0 END AS DOUBLE)) AS year FROM persons
 """, uses=("persons",))
 def _(t):
     persons = _persons(t)
     year = F.col("year").cast("double")
     existing = stores.entities(persons, F.col("name"), {"name": F.col("name"), "year": year}, "people")
     newer = stores.entities(
-        persons.where(F.col("c_custkey") % 3 == 0), F.col("name"), {"name": F.col("name"), "year": year + 1}, "people"
+        persons.where("year > 1997"), F.col("name"), {"name": F.col("name"), "year": year + 1}, "people"
     )
     after = stores.upsert_entities(existing, newer)
     return after.select(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.times import SECOND, micros, window_start
+from millrace.operators.rows import map_rows
 from millrace.operators.triggers import NO_WATERMARK, Trigger, WindowFold, WindowState
 from millrace.session import STATE_STORE
 
@@ -24,6 +25,7 @@ PANE_STATE = (
 
 
 ITEMS_PER_ROW = 10_000
+HELD_KEYS = 50_000
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -44,11 +46,10 @@ class PaneProcessor(StatefulProcessor):
         fold, fresh = self._load(key, timerValues)
         n, total = 0, 0
         for row in rows:
-            n, total = n + 1, total + row["_value"]
+            n, total = n + row["_n"], total + row["_total"]
         panes = self._advance(fold, timerValues) + fold.add((n, total), n)
         yield from self._rows(key, panes)
-        self._save(fold)
-        if fresh and not fold.state.closed:
+        if self._keep(fold) and fresh:
             # The stream's watermark runs `held_back` behind the largest event time.
             for due in (fold.end, fold.end + self.lateness + 1000):
                 self.handle.registerTimer((due - self.held_back) // 1000)
@@ -56,10 +57,7 @@ class PaneProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         fold, _ = self._load(key, timerValues)
         yield from self._rows(key, self._advance(fold, timerValues))
-        if fold.state.closed:
-            self.state.clear()
-        else:
-            self._save(fold)
+        self._keep(fold)
 
     def close(self) -> None: ...
 
@@ -78,10 +76,15 @@ class PaneProcessor(StatefulProcessor):
         panes = fold.advance_clock(times.getCurrentProcessingTimeInMs() * 1000)
         return panes + fold.advance_watermark(watermark)
 
-    def _save(self, fold: WindowFold) -> None:
+    def _keep(self, fold: WindowFold) -> bool:
+        """Saves the state of a window that is not over; of one that is, nothing stays."""
+        if fold.watermark > fold.end + fold.lateness:
+            self.state.clear()
+            return False
         s = fold.state
         n, total = sum(i[0] for i in s.items), sum(i[1] for i in s.items)
         self.state.update((n, total, s.first, s.timely, s.step, s.passed, s.on_time_seen, s.index, s.closed))
+        return True
 
     def _rows(self, key: tuple, panes: list) -> Iterator[Row]:
         for pane in panes:
@@ -114,10 +117,27 @@ def stream_panes(
     """
     use_state_store(stream.sparkSession)
     held_back = size_seconds + lateness_seconds
-    timed = stream.withWatermark(ts, f"{held_back} seconds")
     start = window_start(micros(F.col(ts)), size_seconds * SECOND).alias("window_start")
-    rows = timed.select(*keys, ts, start, F.col(value).cast("long").alias("_value"))
+    rows = stream.select(*keys, start, micros(F.col(ts)).alias("_us"), F.col(value).cast("long").alias("_total"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    width = len(keys) + 1
+
+    def fold(elements: Iterator[tuple]) -> Iterator[tuple]:
+        """Elements of a task to one row per key and window, with their latest time, count and sum."""
+        held: dict = {}
+        for element in elements:
+            key, (us, v) = element[:width], element[width:]
+            last, n, total = held.get(key, (us, 0, 0))
+            held[key] = (max(last, us), n + 1, total + (v or 0))
+            if len(held) >= HELD_KEYS:
+                yield from (k + folded for k, folded in held.items())
+                held = {}
+        yield from (k + folded for k, folded in held.items())
+
+    # A micro-batch is atomic for the trigger, so a hot key is folded before the shuffle.
+    named = "".join(f"`{k}` {types[k]}, " for k in keys)
+    folded = map_rows(rows, fold, f"{named}window_start long, _us long, _n long, _total long")
+    rows = folded.withColumn("_ts", F.timestamp_micros("_us")).withWatermark("_ts", f"{held_back} seconds")
     key_types = "".join(f"key{i} {types[k]}, " for i, k in enumerate(keys))
     schema = key_types + "window_start long, window_end long, pane_index int, pane_timing string, n long, total long"
     processor = PaneProcessor(trigger, size_seconds * SECOND, lateness_seconds * SECOND, held_back * SECOND)
