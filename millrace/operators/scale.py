@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
@@ -106,13 +106,18 @@ def chunk_in_key(
 
 
 def heavy_keys(df: DataFrame, key: str, parts: int = 200, min_rows: int = 100_000) -> list:
-    """Keys that hold more than 1/``parts`` of the rows; there are fewer than ``parts`` of them."""
-    total = df.count()
-    limit = max(total // parts, min_rows)
-    if total <= limit:
+    """Keys that hold more than 1/``parts`` of the rows, and more than ``min_rows``.
+
+    There are fewer than ``parts`` such keys, so all of them are among the ``parts``
+    most frequent; these and the total come from one pass over the key column.
+    """
+    total = Observation()
+    counted = df.groupBy(key).agg(F.count("*").alias("_rows")).observe(total, F.sum("_rows").alias("total"))
+    top = counted.orderBy(F.col("_rows").desc()).limit(parts).collect()
+    if not top:
         return []
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > limit)
-    return [row[0] for row in counted.select(key).collect()]
+    bound = max(total.get["total"] // parts, min_rows)
+    return [row[key] for row in top if row["_rows"] > bound and row[key] is not None]
 
 
 def skew_join(

@@ -47,7 +47,7 @@ def _(t):
 @query("sink_json", "SELECT c_custkey AS id, c_name AS name FROM customer")
 def _(t):
     path = scratch_path(t.spark, "sink-json")
-    files.write_json(t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), path, shards=1)
+    files.write_json(t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), path)
     return t.spark.read.schema("id long, name string").json(path)
 
 
@@ -77,7 +77,7 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "sink-parquet")
     people = t("customer").select(F.col("c_name").alias("name"), (F.col("c_custkey") % 90).alias("age"))
-    files.write_records(people, path, required=["name", "age"], shards=2)
+    files.write_records(people, path, required=["name", "age"], shards=16)
     return t.spark.read.parquet(path)
 
 
