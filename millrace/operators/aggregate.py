@@ -16,6 +16,7 @@ from millrace.operators.scale import chunk_in_key
 
 CHUNK_ROWS = 10_000
 PIECE_ROWS = 10_000
+SERIES_FROM = 64
 
 
 def count_global(df: DataFrame) -> DataFrame:
@@ -125,16 +126,18 @@ def combine_per_key(
     def partial(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: dict = {}
         while piece := list(islice(rows, PIECE_ROWS)):
-            if combiner.add_all is not None:
-                values: dict = {}
-                for row in piece:
-                    values.setdefault(row[:width], []).append(row[width])
-                for key, items in values.items():
-                    held[key] = combiner.add_all(held.get(key) or combiner.create(), pd.Series(items))
-            else:
-                for row in piece:
-                    key = row[:width]
-                    held[key] = combiner.add(held.get(key) or combiner.create(), row[width])
+            values: dict = {}
+            for row in piece:
+                values.setdefault(row[:width], []).append(row[width])
+            for key, items in values.items():
+                acc = held.get(key) or combiner.create()
+                # A Series costs more than it saves for a few values.
+                if combiner.add_all is not None and len(items) >= SERIES_FROM:
+                    acc = combiner.add_all(acc, pd.Series(items))
+                else:
+                    for item in items:
+                        acc = combiner.add(acc, item)
+                held[key] = acc
             if len(held) >= held_keys:
                 yield from (key + acc for key, acc in held.items())
                 held = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,6 +49,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _path_of(uri: str) -> str:
+    """The path of a URI without scheme and host."""
+    return "/" + re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", uri).strip("/")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``, as a full URI.
 
@@ -57,7 +63,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     wanted = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     current = context.getCheckpointDir()
-    if wanted and (current is None or wanted.rstrip("/") not in current):
+    if wanted and (current is None or not _path_of(current).startswith(_path_of(wanted) + "/")):
         context.setCheckpointDir(wanted)
     elif current is None:
         if not context.master.startswith("local"):
