@@ -19,8 +19,5 @@ MODULES = (
 
 
 def load_all() -> None:
-    from importlib.util import find_spec
     for name in MODULES:
-        if find_spec(f"millrace.plans.{name}") is None:
-            continue
         import_module(f"millrace.plans.{name}")

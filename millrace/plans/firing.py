@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from millrace.functions.times import SECOND
 from millrace.operators import panes as P
 from millrace.operators import triggers as T
