@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, packing, sharding
+from millrace.llm import chat, decontamination, neighbours, packing, sharding
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_documents(table(spark, sf_dir, "documents"))
 
 
-_FUNCTIONS = (op1_decontamination, op3_packing, op6_chat, op7_sharding)
+_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op6_chat, op7_sharding)
 
 ORACLES = {"op1_decontamination": decontamination.SQL, "op6_chat": chat.SQL}
 
