@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, neighbours, packing, sharding
+from millrace.llm import chat, decontamination, html_text, neighbours, packing, sharding, warc
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -23,6 +23,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -31,9 +35,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_documents(table(spark, sf_dir, "documents"))
 
 
-_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op6_chat, op7_sharding)
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op6_chat, op7_sharding, op10_html_text)
 
-ORACLES = {"op1_decontamination": decontamination.SQL, "op6_chat": chat.SQL}
+ORACLES = {"op1_decontamination": decontamination.SQL, "op4_warc": warc.SQL, "op6_chat": chat.SQL}
 
 
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
