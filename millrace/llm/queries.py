@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, html_text, neighbours, packing, sharding, warc
+from millrace.llm import chat, decontamination, html_text, neighbours, packing, quality, sharding, warc
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -27,6 +27,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -39,7 +43,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
-_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op6_chat, op7_sharding, op10_html_text)
+_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op5_quality, op6_chat, op7_sharding, op10_html_text)
 
 ORACLES = {"op1_decontamination": decontamination.SQL, "op4_warc": warc.SQL, "op6_chat": chat.SQL}
 
