@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, html_text, near_duplicates, neighbours, packing, quality, sharding, warc
+from millrace.llm import chat, decontamination, html_text, near_duplicates, neighbours, packing, quality, repeats, sharding, warc
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -43,11 +43,15 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_bytes(table(spark, sf_dir, "documents"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
-_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op5_quality, op6_chat, op7_sharding, op8_near_duplicates, op10_html_text)
+_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op5_quality, op6_chat, op7_sharding, op8_near_duplicates, op9_repeats, op10_html_text)
 
 ORACLES = {"op1_decontamination": decontamination.SQL, "op4_warc": warc.SQL, "op6_chat": chat.SQL}
 
