@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from millrace.llm import chat, decontamination, html_text, near_duplicates, neighbours, packing, quality, repeats, sharding, warc
 from millrace.llm.common import table
 from millrace.session import prepare
@@ -63,4 +64,8 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
-QUERIES = {fn.__name__: _prepared(fn) for fn in _FUNCTIONS}
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {fn.__name__: _prepared(fn) for fn in _FUNCTIONS} | {"pipeline": _prepared(_pipeline)}

@@ -266,7 +266,7 @@ def cut_out(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]
     return left, len(text) - len(left), runs
 
 
-def _removed(rows: DataFrame, classes: DataFrame, keep_bytes: bool, crowd: int, often: int) -> DataFrame:
+def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, often: int) -> DataFrame:
     """For each distinct text of 100 bytes or more what its first document loses."""
     texts = _texts(rows, classes)
     found = texts.mapInArrow(partial(_anchor_rows, common=often), "key long, gram long, dkey long, twin int, place long, often boolean")
@@ -292,16 +292,16 @@ def _removed(rows: DataFrame, classes: DataFrame, keep_bytes: bool, crowd: int,
             twins, spans = batch.column("twin").to_pylist(), batch.column("spans").to_pylist()
             for twin, cuts, text in zip(twins, spans, raw(batch.column("text"))):
                 left, n, runs = cut_out(text, [(c["start"], c["end"]) for c in cuts or () if c["twin"] == twin])
-                values = (n, runs, hashlib.sha256(left).hexdigest(), left if keep_bytes else None)
+                values = (n, runs, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None)
                 for column, value in zip(columns, values):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("dkey"), batch.column("twin"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                 names=["dkey", "twin", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    kind = "dkey long, twin int, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    kind = "dkey long, twin int, n_removed long, n_spans long, kept_sha256 string, kept string"
     return whole.mapInArrow(run, kind)
 
 
@@ -341,3 +341,32 @@ def removed_bytes(docs: DataFrame, crowd: int = CROWD, often: int = OFTEN) -> Da
         choose(F.lit(0).cast("long"), F.col("n_spans"), F.lit(1).cast("long")).alias("n_spans"),
         choose(F.col("short_sha256"), F.col("kept_sha256"), F.lit(hashlib.sha256(b"").hexdigest())).alias("kept_sha256"),
     )
+
+
+def remove_repeats(docs: DataFrame, crowd: int = CROWD, often: int = OFTEN) -> DataFrame:
+    """The documents without the bytes :func:`removed_bytes` counts; ``text`` and ``n_chars`` (if there) change.
+
+    Every row stays, one whose text an earlier document has with an empty text. What is left of a character cut in
+    two goes too. Rows that repeat doc_id and text all keep what the first keeps; null texts stay null.
+    """
+    rows = _rows(docs)
+    classes = _classes(rows)
+    kept = _removed(rows, classes, True, crowd, often).groupBy("dkey", "twin").agg(F.first("kept").alias("kept"))
+    firsts = classes.join(kept, ["dkey", "twin"]).select(
+        *[F.col(c).alias(f"_f_{c}") for c in ("dkey", *FACTS)], F.col("kept").alias("_left")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    facts = {
+        "_dkey": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+        "_h1": F.xxhash64(text),
+        "_h2": F.hash(text),
+        "_n": F.octet_length(text).cast("long"),
+    }
+    known = docs.withColumns(facts).withColumn("text", F.when(F.col("_n") < LENGTH, F.col("text")))
+    match = [known[a] == firsts[b] for a, b in zip(facts, ("_f_dkey", "_f_h1", "_f_h2", "_f_n_bytes"))]
+    both = known.join(firsts, match, "left")
+    new = F.when(F.col("_n") < LENGTH, F.col("text")).otherwise(F.coalesce("_left", F.lit("")))
+    changed = both.withColumn("text", new)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
