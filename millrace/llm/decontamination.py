@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from millrace.llm.arrow import pieces, raw
 
@@ -23,7 +23,9 @@ FOLD = bytes(
 #: Benchmark bytes one automaton holds, and how many are broadcast at most.
 GROUP_BYTES, MOST_BYTES = 16 << 20, 256 << 20
 
-SPANS = "array<struct<start:long,end:long,items:array<string>>>"
+SPANS = ArrayType(
+    StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("items", ArrayType(StringType()))])
+)
 
 
 def windows(text: bytes, width: int) -> set[bytes]:
@@ -123,7 +125,7 @@ def find_contamination(
     kept = [c for c in docs.columns if c not in names]
     frame = docs.select(*kept)
     schema = StructType(list(frame.schema.fields))
-    for name, kind in [f.split() for f in added.split(", ")] + [["spans", SPANS]] * spans:
+    for name, kind in [f.split() for f in added.split(", ")] + [("spans", SPANS)] * spans:
         schema = schema.add(name, kind)
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("items", pa.list_(pa.string()))]))
 
