@@ -17,6 +17,8 @@ from millrace.llm.arrow import pieces, utf8
 
 SIGNS = ".,!?;:|\"'()[]{}"
 SHAPES = 6
+#: Letters of a word's beginning, which inflected forms share.
+STEM = 4
 
 
 def shapes(text: bytes, words: int, distinct: int) -> list[float]:
@@ -30,15 +32,17 @@ def shapes(text: bytes, words: int, distinct: int) -> list[float]:
 
 
 def features(texts: pa.LargeStringArray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's distinct word buckets, where they begin, and its shape numbers."""
+    """Each text's distinct buckets of words and of their beginnings, where they begin, and its shape numbers."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = split.flatten().dictionary_encode()
     words = pc.ascii_trim(coded.dictionary, SIGNS).to_pylist()
     hashed = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words)) % buckets
+    stems = np.fromiter((zlib.crc32(w[:STEM].encode(), 1) for w in words), np.int64, len(words)) % buckets
     bounds = split.offsets.to_numpy(zero_copy_only=False)
     counts = np.diff(bounds)
     row = np.repeat(np.arange(len(texts)), counts)
-    keys = np.unique(row * buckets + hashed[coded.indices.to_numpy(zero_copy_only=False)])
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    keys = np.unique(np.concatenate((row * buckets + hashed[codes], row * buckets + stems[codes])))
     starts = np.searchsorted(keys, np.arange(len(texts) + 1) * buckets)
     raw = texts.cast(pa.large_binary()).to_pylist()
     dense = np.array([shapes(t, w, d) for t, w, d in zip(raw, counts, np.diff(starts))]).reshape(-1, SHAPES)
