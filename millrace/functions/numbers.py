@@ -11,7 +11,8 @@ def divisors(n: Column) -> Column:
     root = F.floor(F.sqrt(n)).cast("long")
     wide = n.cast("long")
     low = F.filter(F.sequence(F.lit(1).cast("long"), root), lambda d: wide % d == 0)
-    high = F.transform(low, lambda d: (wide / d).cast("long"))
+    # Every d divides, so this is exact also where a double is not.
+    high = F.transform(low, lambda d: F.try_divide(wide.cast("decimal(20,0)"), d.cast("decimal(20,0)")).cast("long"))
     return F.when(n > 0, F.array_sort(F.array_union(low, high)))
 
 

@@ -7,16 +7,16 @@ from dataclasses import dataclass
 from itertools import groupby, islice
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from millrace.operators.rows import map_rows
 from millrace.operators.scale import chunk_in_key
 
 CHUNK_ROWS = 10_000
 PIECE_ROWS = 10_000
-SERIES_FROM = 64
+NAN = float("nan")
 
 
 def count_global(df: DataFrame) -> DataFrame:
@@ -44,13 +44,14 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def group_values(
     df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] = (), chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Values of each key as arrays of at most ``chunk_rows``, in order: (keys, chunk, values).
+    """Values of each key as arrays, in order: (keys, chunk, values).
 
-    A group is as many rows as it needs chunks, so it never has to fit one task;
-    a group of at most ``chunk_rows`` values is the single chunk 0.
+    A group is as many rows as it needs chunks of at most ``chunk_rows`` values and about
+    8 MB, so it never has to fit one task; a smaller group is the single chunk 0.
     """
     order = list(order) or [value]
-    chunked = chunk_in_key(df, keys, order, chunk_rows)
+    size = F.coalesce(F.octet_length(F.col(value).cast("string")), F.lit(0)) + 16
+    chunked = chunk_in_key(df, keys, order, chunk_rows, size=size)
     pairs = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
     gathered = chunked.groupBy(*keys, "chunk").agg(pairs.alias("pairs"))
     return gathered.select(*keys, "chunk", F.transform("pairs", lambda p: p["_value"]).alias("values"))
@@ -91,8 +92,8 @@ class Combiner:
     """A user-defined aggregate: create, add, merge, extract.
 
     The accumulator is a tuple with the types of ``accumulator`` (DDL of its fields);
-    ``merge`` must not depend on order. ``add_all`` takes a whole pandas Series and may
-    replace the value-by-value ``add``.
+    ``merge`` must not depend on order. Where ``add_all`` is given it takes
+    the place of ``add`` for any number of values: a list of them goes in at once.
     """
 
     create: Callable[[], tuple]
@@ -101,7 +102,7 @@ class Combiner:
     extract: Callable[[tuple], Any]
     accumulator: str
     result: str
-    add_all: Callable[[tuple, pd.Series], tuple] | None = None
+    add_all: Callable[[tuple, list], tuple] | None = None
 
 
 def combine_per_key(
@@ -117,23 +118,30 @@ def combine_per_key(
     Every task folds its rows into one accumulator per key, given out early when it
     holds ``held_keys`` of them. After the shuffle the accumulators of a key follow
     each other in sorted order and are merged as they stream by, so a hot key costs
-    one accumulator per task that saw it and is never gathered.
+    one accumulator per task that saw it and is never gathered. Keys are those of Spark's
+    grouping: NaN equals NaN. Arrays, maps, structs and variants are refused.
     """
     keys = list(keys)
     width = len(keys)
+    for field in df.select(*keys).schema:
+        if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            raise TypeError(f"{field.name}: {field.dataType.simpleString()} can't be a key of a combiner")
     key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
+    def key_of(row: tuple) -> tuple:
+        # One NaN object for all, as Python finds two of them unequal.
+        return tuple(NAN if part != part else part for part in row[:width])
+
     def partial(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: dict = {}
         while piece := list(islice(rows, PIECE_ROWS)):
             values: dict = {}
             for row in piece:
-                values.setdefault(row[:width], []).append(row[width])
+                values.setdefault(key_of(row), []).append(row[width])
             for key, items in values.items():
-                acc = held.get(key) or combiner.create()
-                # A Series costs more than it saves for a few values.
-                if combiner.add_all is not None and len(items) >= SERIES_FROM:
-                    acc = combiner.add_all(acc, pd.Series(items))
+                acc = held[key] if key in held else combiner.create()
+                if combiner.add_all is not None:
+                    acc = combiner.add_all(acc, items)
                 else:
                     for item in items:
                         acc = combiner.add(acc, item)
@@ -144,7 +152,7 @@ def combine_per_key(
         yield from (key + acc for key, acc in held.items())
 
     def merge_runs(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for key, parts in groupby(rows, key=lambda row: row[:width]):
+        for key, parts in groupby(rows, key=key_of):
             acc = combiner.create()
             for part in parts:
                 acc = combiner.merge(acc, part[width:])
@@ -182,13 +190,18 @@ def aggregate_by_key(
     return combine_per_key(df, keys, value, combiner, name)
 
 
-# The mean of the values that are not null as a combiner: (sum, count).
+def _add_present(acc: tuple, values: list) -> tuple:
+    present = [v for v in values if v is not None]
+    return acc[0] + sum(present), acc[1] + len(present)
+
+
+# The mean of the values that are not null as a combiner: (sum, count). NaN gives NaN.
 MEAN = Combiner(
     create=lambda: (0.0, 0),
-    add=lambda acc, x: acc if x is None else (acc[0] + x, acc[1] + 1),
+    add=lambda acc, x: _add_present(acc, [x]),
     merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
     extract=lambda acc: acc[0] / acc[1] if acc[1] else None,
     accumulator="total double, n long",
     result="double",
-    add_all=lambda acc, xs: (acc[0] + float(xs.sum()), acc[1] + int(xs.count())),
+    add_all=_add_present,
 )

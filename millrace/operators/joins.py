@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregate import CHUNK_ROWS, group_values
-from millrace.operators.scale import attach_all, is_small, skew_join
+from millrace.operators.scale import attach_all, split_join
 
 
 def cogroup(
@@ -17,27 +17,35 @@ def cogroup(
     """Values of every input per key: (key, chunk, one array per input, empty when missing).
 
     ``inputs`` maps an output name to (frame, value column, order). Keys of all inputs
-    appear. Chunk *i* holds the *i*-th ``chunk_rows`` values of each input, so a hot
+    appear, null as one key. Chunk *i* holds the *i*-th ``chunk_rows`` values of each input, so a hot
     key is several bounded rows and the full outer join is on (key, chunk).
     """
     joined = None
     for name, (frame, value, order) in inputs.items():
         grouped = group_values(frame, [key], value, order, chunk_rows).withColumnRenamed("values", name)
-        joined = grouped if joined is None else joined.join(grouped, [key, "chunk"], "full")
+        if joined is None:
+            joined = grouped
+            continue
+        other = grouped.withColumnsRenamed({key: "_key", "chunk": "_chunk"})
+        same = joined[key].eqNullSafe(other["_key"]) & (joined["chunk"] == other["_chunk"])
+        # A row that only the second input has lacks the chunk of the first; then its key is the other one.
+        keyed = F.when(F.col("chunk").isNull(), F.col("_key")).otherwise(F.col(key))
+        full = joined.join(other, same, "full").withColumn(key, keyed).withColumn("chunk", F.coalesce("chunk", "_chunk"))
+        joined = full.drop("_key", "_chunk")
     empty = [F.coalesce(F.col(name), F.array().cast(joined.schema[name].dataType)).alias(name) for name in inputs]
     return joined.select(key, "chunk", *empty)
 
 
-def inner_join(left: DataFrame, right: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:
-    return skew_join(left, right, key, "inner", spread)
+def inner_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return split_join(left, right, key)
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:
-    return skew_join(left, right, key, "left", spread)
+def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return split_join(left, right, key, "left")
 
 
-def full_join(left: DataFrame, right: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:
-    return skew_join(left, right, key, "full", spread)
+def full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return split_join(left, right, key, "full")
 
 
 def map_side_input(
@@ -60,10 +68,8 @@ def map_side_input(
         if default is not None
         else F.raise_error(F.concat(F.lit("key is not in the lookup: "), F.col(key).cast("string")))
     )
-    if is_small(side):
-        joined = df.join(F.broadcast(side), key, "left")
-    else:
-        joined = skew_join(df, side, key, "left", [c for c in df.columns if c != key])
+    # The lookup has one row per key: adaptive execution broadcasts a small one and splits hot keys of the rows.
+    joined = df.join(side, key, "left")
     return joined.withColumn(value, F.when(F.col("_found"), F.col(value)).otherwise(missing)).drop("_found")
 
 

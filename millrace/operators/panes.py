@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.times import SECOND, micros, window_start
 from millrace.operators.rows import map_rows
-from millrace.operators.scale import broadcast_if_small
 from millrace.operators.triggers import END_OF_TIME, Trigger, WindowFold
 from millrace.session import materialize
 
@@ -69,7 +68,7 @@ def with_lateness(arrived: DataFrame, clock: DataFrame, size_seconds: int, laten
 
     A watermark of exactly end + lateness still lets an element in.
     """
-    seen = arrived.join(broadcast_if_small(clock.select("batch_id", "wm_before")), "batch_id")
+    seen = arrived.join(clock.select("batch_id", "wm_before"), "batch_id")
     end = _window_end(size_seconds)
     late = F.coalesce(F.col("wm_before") >= end, F.lit(False))
     dropped = F.coalesce(F.col("wm_before") > end + lateness_seconds * SECOND, F.lit(False))

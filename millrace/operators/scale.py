@@ -4,171 +4,93 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROWS_PER_TASK = 1_000_000
+SIDE_ROWS = 1000
 
 
-def fill_cores(df: DataFrame) -> DataFrame:
-    """Spreads an input of fewer splits than cores before work that is heavy per row.
-
-    A large input has more splits than cores and passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when the frame has been counted and fits the two bounds.
-
-    The count stops one row past the bound, so a large frame costs no full scan.
-    """
-    row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .select(row_bytes.alias("bytes"))
-        .agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Adds the broadcast hint only after the size has been checked."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
-
-
-def _null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str) -> Column:
+def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str) -> Column:
     condition = F.lit(True)
     for name in columns:
         condition = condition & left[name].eqNullSafe(right[f"{prefix}{name}"])
     return condition
 
 
-def position_in_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "position",
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def position_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", sizes: Sequence[Column] = ()) -> DataFrame:
     """Numbers the rows of each key 1, 2, 3 … in ``order`` (must be unique within a key).
 
-    While the largest key fits one task this is a plain window. Beyond that the
-    rows are range-partitioned by (keys, order), so a hot key is spread over many
+    The rows are range-partitioned by (keys, order), so a hot key is spread over many
     partitions; each partition numbers its part and adds the count of the parts
     before it. The ranges are written to the checkpoint folder once, because the
-    counts and the rows must see the same split.
+    counts and the rows must see the same split. For each of ``sizes`` a column
+    ``name_0``, ``name_1`` … has its sum up to the row.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= rows_per_task:
-        numbering = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(numbering).cast("long"))
-
-    ranged = materialize(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    named = [F.lit(1).cast("long").alias("_one"), *[s.cast("long").alias(f"_size_{i}") for i, s in enumerate(sizes)]]
+    measures = ["_one", *[f"_size_{i}" for i in range(len(sizes))]]
+    ranged = materialize(df.select("*", *named).repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
     split = [*keys, "_part"]
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*split)
-        .agg(F.count("*").alias("_n"))
-        .select(
-            *[F.col(c).alias(f"_o_{c}") for c in split],
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        )
-    )
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(*split).orderBy(*order)))
-    return (
-        local.join(offsets, _null_safe(local, offsets, split, "_o_"))
-        .withColumn(name, (F.col("_local") + F.col("_before")).cast("long"))
-        .select(*df.columns, name)
+    totals = ranged.groupBy(*split).agg(*[F.sum(m).alias(m) for m in measures])
+    offsets = totals.select(
+        *[F.col(c).alias(f"_o_{c}") for c in split],
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_o_{m}") for m in measures],
     )
+    inside = Window.partitionBy(*split).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(m).over(inside).alias(f"_l_{m}") for m in measures])
+    joined = local.join(offsets, null_safe(local, offsets, split, "_o_"))
+    names = [name, *[f"{name}_{i}" for i in range(len(sizes))]]
+    return joined.select(*df.columns, *[(F.col(f"_l_{m}") + F.col(f"_o_{m}")).alias(n) for m, n in zip(measures, names)])
 
 
 def chunk_in_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk_rows: int,
-    name: str = "chunk",
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, name: str = "chunk", size: Column | None = None, chunk_bytes: int = 8 << 20
 ) -> DataFrame:
-    """Splits each key into consecutive chunks of at most ``chunk_rows`` rows, numbered from 0."""
-    numbered = position_in_key(df, keys, order, "_position", rows_per_task)
-    chunk = F.floor((F.col("_position") - 1) / F.lit(chunk_rows)).cast("long")
-    return numbered.withColumn(name, chunk).drop("_position")
-
-
-def heavy_keys(df: DataFrame, key: str, parts: int = 200, min_rows: int = 100_000) -> list:
-    """Keys that hold more than 1/``parts`` of the rows, and more than ``min_rows``.
+    """Splits each key into chunks, numbered from 0, of at most ``chunk_rows`` rows and about ``chunk_bytes`` of ``size``.
 
-    There are fewer than ``parts`` such keys, so all of them are among the ``parts``
-    most frequent; these and the total come from one pass over the key column.
+    A chunk is over when the next row would start another run of ``chunk_rows`` rows or of
+    ``chunk_bytes``; chunks are numbered densely.
     """
-    total = Observation()
-    counted = df.groupBy(key).agg(F.count("*").alias("_rows")).observe(total, F.sum("_rows").alias("total"))
-    top = counted.orderBy(F.col("_rows").desc()).limit(parts).collect()
-    if not top:
-        return []
-    bound = max(total.get["total"] // parts, min_rows)
-    return [row[key] for row in top if row["_rows"] > bound and row[key] is not None]
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    spread: Sequence[str] = (),
-    salts: int = 32,
-    min_rows: int = 100_000,
-) -> DataFrame:
-    """Equi-join on ``key`` in which hot keys of ``left`` are split over ``salts`` tasks.
-
-    ``spread`` names columns of ``left`` that differ between the rows of a key; the
-    salt is their hash, so a recomputed task gives every row the same salt. Only the
-    right rows of hot keys are repeated, once per salt. ``how`` is inner, left or full.
+    sizes = [size] if size is not None else []
+    numbered = position_in_key(df, keys, order, "_position", sizes)
+    by_rows = F.floor((F.col("_position") - 1) / F.lit(chunk_rows)).cast("long")
+    if size is None:
+        return numbered.withColumn(name, by_rows).drop("_position")
+    by_bytes = F.floor((F.col("_position_0") - size.cast("long")) / F.lit(chunk_bytes)).cast("long")
+    # Both parts only grow along a key, so their sum numbers the runs in order and without a gap of rows.
+    return numbered.withColumn(name, by_rows + by_bytes).drop("_position", "_position_0")
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` whose hot keys, of either side, Spark may split at run time.
+
+    Adaptive execution splits both sides of an inner join, but not the side that an outer
+    join keeps the partners of. So the matched rows come from an inner join, and the
+    unmatched rows from anti joins against the distinct keys. Rows with a null key match
+    nothing; a hash of the whole row beside the key spreads them. ``how`` is inner, left or full.
     """
-    if how == "full":
-        matched = skew_join(left, right, key, "left", spread, salts, min_rows)
-        unmatched = right.join(left.select(key).distinct(), key, "left_anti")
-        return matched.unionByName(unmatched, allowMissingColumns=True)
-    hot = heavy_keys(left, key, min_rows=min_rows)
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted = right.withColumn("_salt", F.explode(copies))
-    return left.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
-
-
-def attach_all(df: DataFrame, side: DataFrame, side_rows: int = 10_000, spread: int = 64) -> DataFrame:
-    """Every row of ``df`` with every row of ``side``, as an iterable side input gives it.
-
-    A side of checked size is gathered into one array value and exploded in the map
-    stage. A larger side is cut into slices of about ``side_rows`` and ``df`` into
-    ``spread`` parts; each part meets each slice through an equi-join on the two
-    numbers, so a task holds one slice only.
+    matched = left.join(right, key)
+    parts = [matched]
+    for kept, other in ((left, right), (right, left))[: {"inner": 0, "left": 1, "full": 2}[how]]:
+        spread = F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), F.xxhash64(*kept.columns))
+        keys = other.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_spread", F.xxhash64(key))
+        parts.append(kept.withColumn("_spread", spread).join(keys, [key, "_spread"], "left_anti").drop("_spread"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part, allowMissingColumns=True)
+    return result
+
+
+def attach_all(df: DataFrame, side: DataFrame, side_rows: int = SIDE_ROWS) -> DataFrame:
+    """Every row of ``df`` with every row of a small fixed ``side``, as an iterable side input gives it.
+
+    The side is one array value, exploded in the map stage. A side of more than
+    ``side_rows`` rows ends the job with an error: it would multiply the table.
     """
     fields = side.columns
-    if is_small(side, side_rows, 4 * 1024 * 1024):
-        gathered = side.agg(F.collect_list(F.struct(*fields)).alias("items")).scalar()
-        return df.withColumn("_item", F.explode(gathered)).select(*df.columns, *[f"_item.{c}" for c in fields])
-    slices = side.count() // side_rows + 1
-
-    def number(frame: DataFrame, parts: int) -> Column:
-        return F.pmod(F.xxhash64(*frame.columns), F.lit(parts)).cast("int")
-
-    def all_of(parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-
-    left = df.withColumn("_part", number(df, spread)).withColumn("_slice", all_of(slices))
-    right = side.withColumn("_slice", number(side, slices)).withColumn("_part", all_of(spread))
-    return left.join(right, ["_part", "_slice"]).select(*df.columns, *fields)
+    too_many = F.raise_error(F.lit(f"the side input has more than {side_rows} rows"))
+    bounded = side.limit(side_rows + 1).agg(F.collect_list(F.struct(*fields)).alias("items"), F.count("*").alias("n"))
+    items = bounded.select(F.when(F.col("n") <= side_rows, F.col("items")).otherwise(too_many).alias("items")).scalar()
+    return df.withColumn("_item", F.explode(items)).select(*df.columns, *[f"_item.{c}" for c in fields])

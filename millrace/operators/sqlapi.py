@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 # The name under which SQL over a single input sees it.
-SINGLE_INPUT = "PCOLLECTION"
+SINGLE_INPUT = "rows"
 
 
 def sql_over(df: DataFrame, query: str, name: str = SINGLE_INPUT) -> DataFrame:
-    """Runs SQL with the frame visible as ``PCOLLECTION``."""
+    """Runs SQL with the frame visible as ``rows``."""
     return sql_over_named(df.sparkSession, query, {name: df})
 
 
@@ -24,20 +24,23 @@ def sql_over_named(spark: SparkSession, query: str, inputs: dict[str, DataFrame]
 
 
 @F.pandas_udf(BooleanType())
-def more_than_5_years(years: pd.Series) -> pd.Series:
+def is_senior(years: pd.Series) -> pd.Series:
     return years >= 5.0
 
 
 @F.pandas_udf(StringType())
-def append_jobs(jobs: pd.Series) -> str:
-    """Joined texts of a group, sorted because a group has no order."""
-    return ", ".join(sorted(jobs))
+def joined_sorted(texts: pd.Series) -> str:
+    """Joined texts of a group without nulls, sorted because a group has no order.
+
+    The group is held in one task: fold it first.
+    """
+    return ", ".join(sorted(texts.dropna()))
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Makes the scalar function MoreThan5Years and the aggregate AppendJobs known to SQL."""
-    spark.udf.register("MoreThan5Years", more_than_5_years)
-    spark.udf.register("AppendJobs", append_jobs)
+    """Makes the scalar function is_senior and the aggregate joined_sorted known to SQL."""
+    spark.udf.register("is_senior", is_senior)
+    spark.udf.register("joined_sorted", joined_sorted)
 
 
 def add_window(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int | None = None) -> DataFrame:

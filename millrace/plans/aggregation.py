@@ -54,13 +54,14 @@ def _(t):
 
 
 def _numbers(t):
-    """Distinct small numbers out of the order keys."""
-    return t("orders").select((F.col("o_orderkey") % 10000 + 1).alias("n")).distinct()
+    """The distinct order keys."""
+    return t("orders").where("o_orderkey > 0").select(F.col("o_orderkey").alias("n")).distinct()
 
 
 _PROPER = """
-WITH n AS (SELECT DISTINCT o_orderkey % 10000 + 1 AS n FROM orders),
-d AS (SELECT n, d FROM n JOIN (SELECT unnest(range(1, 10001)) AS d) ON d <= n AND n % d = 0)
+WITH n AS (SELECT DISTINCT o_orderkey AS n FROM orders WHERE o_orderkey > 0),
+low AS (SELECT n, d FROM (SELECT n, unnest(range(1, CAST(floor(sqrt(n)) AS BIGINT) + 1)) AS d FROM n) WHERE n % d = 0),
+d AS (SELECT n, d FROM low UNION SELECT n, n // d FROM low)
 """
 
 

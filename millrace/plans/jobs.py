@@ -24,7 +24,7 @@ def _(t):
     named = games.select(
         F.col("c_mktsegment").alias("team"), F.year("o_orderdate").cast("long").alias("year"), F.col("o_totalprice").alias("attendance")
     )
-    averaged = S.sql_over(named, "SELECT team, year, round(AVG(attendance), 2) AS attendance FROM PCOLLECTION GROUP BY team, year")
+    averaged = S.sql_over(named, "SELECT team, year, round(AVG(attendance), 2) AS attendance FROM rows GROUP BY team, year")
     name = f"attendance_{scratch_path(t.spark, 'x')[-12:]}"
     tables.write_table(averaged, name, "append", location=scratch_path(t.spark, "job-table"))
     return t.spark.table(name)
@@ -55,7 +55,7 @@ def _(t):
     export = t("orders").select(F.col("o_orderpriority").alias("col1"), (F.col("o_totalprice") / 1000).cast("int").alias("col2"))
     files.write_csv(export, source)
     kept = file_sources.read_csv(t.spark, source, "col1 string, col2 int").where("col2 > 100")
-    files.write_json(S.sql_over(kept, "SELECT col1, count(*) AS n, sum(col2) AS total FROM PCOLLECTION GROUP BY col1"), target)
+    files.write_json(S.sql_over(kept, "SELECT col1, count(*) AS n, sum(col2) AS total FROM rows GROUP BY col1"), target)
     return t.spark.read.schema("col1 string, n long, total long").json(target)
 
 

@@ -43,35 +43,40 @@ def _(t):
 SELECT o_orderkey, c_name || ' ordered ' || o_orderkey AS line FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def _(t):
-    joined = J.inner_join(_orders(t), _customers(t), "custkey", ["o_orderkey"])
+    joined = J.inner_join(_orders(t), _customers(t), "custkey")
     return joined.select("o_orderkey", F.concat("c_name", F.lit(" ordered "), "o_orderkey").alias("line"))
 
 
-@query("join_left_outer", """
+# Order keys that miss some customers and meet none, so that both sides have rows without a partner.
+SHIFTED = "(SELECT CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey - o_custkey % 2 END AS o_custkey, o_orderkey FROM orders)"
+
+
+def _shifted(t):
+    key, number = F.col("custkey"), F.col("o_orderkey")
+    return _orders(t).select(F.when(number % 7 == 0, -key).otherwise(key - key % 2).alias("custkey"), number)
+
+
+@query("join_left_outer", f"""
 SELECT c_custkey AS custkey, o_orderkey,
   CASE WHEN o_orderkey IS NULL THEN c_name || ' has no order' ELSE c_name || ' ordered ' || o_orderkey END AS line
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON o_custkey = c_custkey
+FROM customer LEFT JOIN {SHIFTED} ON o_custkey = c_custkey
 """)
 def _(t):
-    pending = _orders(t).where(F.col("o_orderstatus") == "P")
-    joined = J.left_join(_customers(t), pending, "custkey", ["custkey"])
+    joined = J.left_join(_customers(t), _shifted(t), "custkey")
     line = F.when(F.col("o_orderkey").isNull(), F.concat("c_name", F.lit(" has no order"))).otherwise(
         F.concat("c_name", F.lit(" ordered "), "o_orderkey")
     )
     return joined.select("custkey", "o_orderkey", line.alias("line"))
 
 
-@query("join_full_outer", """
+@query("join_full_outer", f"""
 SELECT coalesce(o_custkey, c_custkey) AS custkey, o_orderkey, c_name,
   CASE WHEN o_orderkey IS NULL THEN 'customer only' WHEN c_name IS NULL THEN 'order only' ELSE 'both' END AS side
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') FULL JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY')
-  ON o_custkey = c_custkey
+FROM {SHIFTED} FULL JOIN customer ON o_custkey = c_custkey
 """)
 def _(t):
-    pending = _orders(t).where(F.col("o_orderstatus") == "P").select("custkey", "o_orderkey")
-    others = _customers(t).where(F.col("c_mktsegment") != "MACHINERY").select("custkey", "c_name")
     side = F.when(F.col("o_orderkey").isNull(), "customer only").when(F.col("c_name").isNull(), "order only")
-    joined = J.full_join(pending, others, "custkey", ["o_orderkey"])
+    joined = J.full_join(_shifted(t), _customers(t).select("custkey", "c_name"), "custkey")
     return joined.select("custkey", "o_orderkey", "c_name", side.otherwise("both").alias("side"))
 
 
@@ -79,15 +84,14 @@ def _names_and_jobs(t):
     names = t("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("family"))
     jobs = (
         t("orders")
-        .where(F.col("o_orderpriority") == "1-URGENT")
-        .groupBy(F.col("o_custkey").alias("custkey"))
+        .groupBy((F.col("o_custkey") - F.col("o_custkey") % 2).alias("custkey"))
         .agg(F.count("*").alias("job"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("salary"))
     )
     return {"names": names, "jobs": jobs}
 
 
-JOBS = """jobs AS (SELECT o_custkey AS custkey, count(*) AS job,
-  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS salary FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)"""
+JOBS = """jobs AS (SELECT o_custkey - o_custkey % 2 AS custkey, count(*) AS job,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS salary FROM orders GROUP BY 1)"""
 
 
 @query("sql_left_join", f"WITH {JOBS} SELECT c_name AS name, job FROM customer LEFT JOIN jobs ON c_custkey = custkey")
@@ -143,12 +147,12 @@ def _(t):
 
 
 @query("side_iter_cross", """
-SELECT p_partkey, p_name || ' is ' || p_type AS line FROM (SELECT p_partkey, p_name FROM part), (SELECT DISTINCT p_type FROM part)
+SELECT p_partkey, p_name || ' in ' || r_name AS line FROM part, region
 """)
 def _(t):
-    kinds = t("part").select("p_type").distinct()
-    pairs = J.each_with_all(t("part").select("p_partkey", "p_name"), kinds)
-    return pairs.select("p_partkey", F.concat("p_name", F.lit(" is "), "p_type").alias("line"))
+    """The side is the fixed list of the five regions."""
+    pairs = J.each_with_all(t("part").select("p_partkey", "p_name"), t("region").select("r_name"))
+    return pairs.select("p_partkey", F.concat("p_name", F.lit(" in "), "r_name").alias("line"))
 
 
 @query("side_singleton", """

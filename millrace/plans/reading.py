@@ -137,7 +137,7 @@ def _(t):
 @query("src_jdbc_partitioned", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def _(t):
     url, table = _jdbc_customers(t)
-    return jdbc.read_partitioned(t.spark, url, table, "c_custkey", 0, 1000, 4)
+    return jdbc.read_partitioned(t.spark, url, table, "c_custkey", rows_per_range=4000)
 
 
 def _saved_orders(t, columns):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import elementwise as E
 from millrace.operators import sqlapi as S
-from millrace.operators.scale import chunk_in_key
 from millrace.plans.registry import query
 
 
@@ -14,7 +13,7 @@ from millrace.plans.registry import query
 def _(t):
     fields = {"name": "string", "year": "int", "country": "string", "grp": "string"}
     persons = E.parse_delimited(t.view("person_lines"), "value", fields)
-    return S.sql_over(persons, "SELECT COUNT(*) AS n, year, country FROM PCOLLECTION GROUP BY year, country")
+    return S.sql_over(persons, "SELECT COUNT(*) AS n, year, country FROM rows GROUP BY year, country")
 
 
 @query("sql_named_inputs", """
@@ -58,7 +57,7 @@ def _(t):
         t.view("rides"),
         """SELECT unix_micros(window.start) AS start_us, unix_micros(window.end) AS end_us,
                   round(try_divide(sum(meter_reading), sum(passenger_count)), 4) AS per_passenger
-           FROM PCOLLECTION WHERE ride_status = 'dropoff' GROUP BY window(ts, '1 day', '12 hours')""",
+           FROM rows WHERE ride_status = 'dropoff' GROUP BY window(ts, '1 day', '12 hours')""",
     )
 
 
@@ -84,30 +83,29 @@ def _(t):
     S.register_functions(t.spark)
     return S.sql_over(
         _work(t),
-        """SELECT name, job, COUNT(*) AS n, MoreThan5Years(2 * AVG(years_worked * 10) / 10) AS more
-           FROM PCOLLECTION GROUP BY name, job""",
+        """SELECT name, job, COUNT(*) AS n, is_senior(2 * AVG(years_worked * 10) / 10) AS more
+           FROM rows GROUP BY name, job""",
     )
 
 
 @query("sql_udaf", """
-WITH work AS (SELECT s_name AS name, l_returnflag AS job, l_quantity, (row_number() OVER (PARTITION BY s_name
-    ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey) - 1) // 500 AS chunk
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-totals AS (SELECT name, round(sum(l_quantity) / 10, 2) AS total_years, sum(l_quantity) / 10 >= 5.0 AS more FROM work GROUP BY name)
-SELECT name, total_years, more, chunk, jobs FROM totals
-JOIN (SELECT name, chunk, string_agg(job, ', ' ORDER BY job) AS jobs FROM work GROUP BY name, chunk) USING (name)
+WITH work AS (SELECT s_name AS name, l_returnflag AS job, l_quantity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+jobs AS (SELECT name, job, count(*) AS n FROM work GROUP BY name, job)
+SELECT name, round(sum(l_quantity) / 10, 2) AS total_years, sum(l_quantity) / 10 >= 5.0 AS more,
+  (SELECT string_agg(job || ' x ' || n, ', ' ORDER BY job) FROM jobs WHERE jobs.name = work.name) AS jobs
+FROM work GROUP BY name
 """)
 def _(t):
     """A Python aggregate cannot stand next to built-in ones, so each has its own grouping.
 
-    It also holds its group in one task: it runs on bounded chunks of a name.
+    It holds its group in one task; the jobs of a name are counted first, so a group has a row per job.
     """
     S.register_functions(t.spark)
-    chunked = chunk_in_key(_work(t), ["name"], ["job", "l_orderkey", "l_linenumber", "l_partkey"], 500)
     return S.sql_over(
-        chunked,
-        """WITH totals AS (SELECT name, round(SUM(years_worked), 2) AS total_years, MoreThan5Years(SUM(years_worked)) AS more
-                          FROM PCOLLECTION GROUP BY name),
-           texts AS (SELECT name, chunk, AppendJobs(job) AS jobs FROM PCOLLECTION GROUP BY name, chunk)
-           SELECT name, total_years, more, chunk, jobs FROM totals JOIN texts USING (name)""",
+        _work(t),
+        """WITH totals AS (SELECT name, round(SUM(years_worked), 2) AS total_years, is_senior(SUM(years_worked)) AS more
+                          FROM rows GROUP BY name),
+           counted AS (SELECT name, concat(job, ' x ', count(*)) AS job FROM rows GROUP BY name, job),
+           texts AS (SELECT name, joined_sorted(job) AS jobs FROM counted GROUP BY name)
+           SELECT name, total_years, more, jobs FROM totals JOIN texts USING (name)""",
     )

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.scale import skew_join
 
 CELL_KEY = ("row_key", "family", "qualifier", "ts_micros")
 
@@ -31,17 +30,19 @@ def apply_cells(cells: DataFrame, mutations: DataFrame, sequence: str) -> DataFr
 
 
 def judge_mutations(target: DataFrame, mutations: DataFrame, key: str) -> DataFrame:
-    """Adds ``found`` and ``valid``: insert needs a free key, update an existing one.
+    """Adds ``found`` and ``valid``: insert needs a free key, update an existing one, all need a key.
 
     Two mutations of one key in a set are an error, because their order is not defined.
     """
     keys = target.select(key, F.lit(True).alias("_found"))
     twice = F.raise_error(F.concat(F.lit("two mutations for key "), F.col(key).cast("string")))
-    counted = mutations.groupBy(key).agg(F.count("*").alias("_n"))
+    counted = mutations.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     once = counted.select(key, F.when(F.col("_n") == 1, True).otherwise(twice).alias("_once"))
-    joined = mutations.join(once, key).join(keys, key, "left").where("_once")
+    # A mutation without a key stays in the result, as one that is not valid.
+    joined = mutations.join(once, key, "left").join(keys, key, "left").where(F.col(key).isNull() | F.col("_once"))
     found = F.coalesce("_found", F.lit(False))
     valid = F.when(F.col("op") == INSERT, ~found).when(F.col("op") == UPDATE, found).otherwise(True)
+    valid = F.col(key).isNotNull() & valid
     return joined.withColumn("found", found).withColumn("valid", valid).drop("_found", "_once")
 
 
@@ -73,8 +74,8 @@ def judge_groups(judged: DataFrame, group: str, key: str) -> DataFrame:
     """Atomic groups: a mutation is valid only when all of its group are."""
     verdict = judged.groupBy(group).agg(F.every("valid").alias("_all"))
     rejected = verdict.where(~F.col("_all")).select(group, F.lit(False).alias("_ok"))
-    # The rejected groups have one row each; a hot group is split by the mutations' key.
-    return skew_join(judged, rejected, group, "left", [key]).withColumn("valid", F.coalesce("_ok", F.lit(True))).drop("_ok")
+    # The rejected groups have one row each, so only the mutations can be skewed, and that side Spark splits.
+    return judged.join(rejected, group, "left").withColumn("valid", F.coalesce("_ok", F.lit(True))).drop("_ok")
 
 
 def entities(df: DataFrame, text: Column, properties: Mapping[str, Column], namespace: str) -> DataFrame:

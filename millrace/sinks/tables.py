@@ -19,7 +19,7 @@ def write_table(
     """Writes to a catalog table; ``write`` is append, truncate or empty.
 
     ``empty`` accepts a missing or an empty target only. Without ``create_if_needed`` a
-    missing target is an error.
+    missing target is an error, and so is a column that an existing target has not.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
@@ -29,6 +29,9 @@ def write_table(
         raise TableNotEmpty(f"table {table} has rows")
     mode = "overwrite" if write == "truncate" else "append"
     if exists:
+        unknown = set(df.columns) - set(spark.table(table).columns)
+        if unknown:
+            raise ValueError(f"table {table} has no column {', '.join(sorted(unknown))}")
         df.select(*spark.table(table).columns).write.mode(mode).insertInto(table, overwrite=mode == "overwrite")
         return
     writer = df.write.mode(mode)
@@ -48,13 +51,17 @@ def suffix_strings(df: DataFrame, suffix: str = "_example") -> DataFrame:
 def write_destinations(
     df: DataFrame, destination: str, columns: Mapping[str, Sequence[str]], location: str, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """A short list of destinations with a schema each; returns destination → path.
+    """A list of destinations with a schema each; returns destination → path.
+
+    A row whose destination is not in the list, or null, ends the write with an error.
 
     The routed rows are written once, partitioned by destination; each target then
     reads only its own partition, so the input is not computed once per target.
     """
     staged = f"{location}/routed"
-    df.hint("rebalance", destination).write.partitionBy(destination).parquet(staged)
+    stray = F.raise_error(F.concat(F.lit("no such destination: "), F.coalesce(F.col(destination).cast("string"), F.lit("null"))))
+    listed = F.when(F.col(destination).isin(*columns), F.col(destination)).otherwise(stray)
+    df.withColumn(destination, listed).hint("rebalance", destination).write.partitionBy(destination).parquet(staged)
     routed = df.sparkSession.read.schema(df.schema).parquet(staged)
     paths = {}
     for name, fields in columns.items():

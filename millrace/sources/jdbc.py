@@ -32,22 +32,23 @@ def read_query(spark: SparkSession, url: str, query: str, properties: dict | Non
 
 
 def read_partitioned(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    column: str,
-    lower: int = 0,
-    upper: int = 1000,
-    partitions: int = 1,
-    properties: dict | None = None,
+    spark: SparkSession, url: str, table: str, column: str, rows_per_range: int = 1_000_000, properties: dict | None = None
 ) -> DataFrame:
-    """Parallel scan in ranges of ``column``; the bounds split the rows and drop none."""
+    """Parallel scan in ranges of ``column``.
+
+    The database tells the smallest and the largest value and the number of rows, from which
+    the bounds and the number of ranges come; they split the rows and drop none.
+    """
+    facts = f'SELECT MIN("{column}") AS "low", MAX("{column}") AS "high", COUNT(*) AS "n" FROM {table}'
+    low, high, n = read_query(spark, url, facts, properties).first()
+    if not n or low is None:
+        return read_table(spark, url, table, properties)
     return spark.read.jdbc(
         url,
         table,
         column=column,
-        lowerBound=lower,
-        upperBound=upper,
-        numPartitions=partitions,
+        lowerBound=low,
+        upperBound=high + 1,
+        numPartitions=-(-n // rows_per_range),
         properties=properties or {},
     )

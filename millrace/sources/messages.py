@@ -68,8 +68,9 @@ def split_dead_letters(df: DataFrame, valid: Column) -> DataFrame:
     return df.withColumn("output", F.when(valid, "main").otherwise("dead_letter"))
 
 
-def with_uuid(df: DataFrame, name: str = "uuid") -> DataFrame:
-    return df.withColumn(name, F.uuid())
+def with_id(df: DataFrame, columns: Sequence[str], name: str = "uuid") -> DataFrame:
+    """Adds an id made of the row's ``columns``, the same whenever the row is computed again."""
+    return df.withColumn(name, F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary")))
 
 
 def drop_repeated(df: DataFrame, uuid: Sequence[str] = ("uuid",)) -> DataFrame:

@@ -22,43 +22,47 @@ def rows(df, *columns):
 
 def test_position_over_ranges_equals_window(skewed):
     plain = skewed.withColumn("position", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("long"))
-    ranged = scale.position_in_key(skewed, ["k"], ["v", "id"], rows_per_task=100)
+    ranged = scale.position_in_key(skewed, ["k"], ["v", "id"])
     assert rows(ranged, "k", "id", "position") == rows(plain, "k", "id", "position")
 
 
 def test_position_over_ranges_spreads_the_hot_key(spark, skewed):
     # Data this small would be put together in one partition again.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    ranged = scale.position_in_key(skewed, ["k"], ["v", "id"], rows_per_task=100)
+    ranged = scale.position_in_key(skewed, ["k"], ["v", "id"])
     largest = ranged.where("k = 'hot'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert largest < 1000
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "full"])
-def test_skew_join_equals_join(spark, skewed, how):
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4), (None, 5)], "k string, x int")
-    want = rows(skewed.join(right, "k", how), "k", "id", "x")
-    got = scale.skew_join(skewed, right, "k", how, ["id"], salts=8, min_rows=500)
-    assert scale.heavy_keys(skewed, "k", min_rows=500) == ["hot"]
-    assert rows(got, "k", "id", "x") == want
-
-
-def test_attach_all_beyond_the_bound(spark, skewed, monkeypatch):
-    side = spark.range(30).select(F.col("id").alias("s"))
-    few = skewed.limit(50).select("id")
-    want = rows(few.crossJoin(side), "id", "s")
-    assert rows(scale.attach_all(few, side), "id", "s") == want
-    monkeypatch.setattr(scale, "is_small", lambda *a, **k: False)
-    sliced = scale.attach_all(few, side, side_rows=8, spread=4)
-    assert rows(sliced, "id", "s") == want
-    assert "Cartesian" not in sliced._jdf.queryExecution().executedPlan().toString()
-
-
-def test_is_small_bounds(spark):
-    assert scale.is_small(spark.range(10), 10, 10_000)
-    assert not scale.is_small(spark.range(11), 10, 10_000)
-    assert not scale.is_small(spark.range(10).select(F.repeat(F.lit("x"), 10_000).alias("x")), 10, 10_000)
+def test_split_join_equals_join(spark, skewed, how):
+    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4), (None, 5)], "k string, x int")
+    want = rows(skewed.join(few, "k", how), "k", "id", "x")
+    assert rows(scale.split_join(skewed, few, "k", how), "k", "id", "x") == want
+    # The hot key may be the other side's, and the other side's null keys may be many.
+    want = rows(few.join(skewed, "k", how), "k", "id", "x")
+    assert rows(scale.split_join(few, skewed, "k", how), "k", "id", "x") == want
+
+
+def test_null_keys_of_a_left_join_are_spread(spark, skewed):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nulls = skewed.withColumn("k", F.when(F.col("k") == "hot", None).otherwise(F.col("k")))
+        joined = scale.split_join(nulls, spark.createDataFrame([("k1", 3)], "k string, x int"), "k", "left")
+        most = joined.where("k is null").groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert most[0] < 0.4 * most[1]
+
+
+def test_hot_keys_of_either_side_can_be_split(spark, skewed):
+    """The matched rows come from an inner join, of which adaptive execution splits both sides."""
+    few = spark.createDataFrame([("hot", 1), ("k1", 3)], "k string, x int")
+    plan = scale.split_join(few, skewed, "k", "left")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Join LeftAnti" in plan and "Join LeftOuter" not in plan
 
 
 def test_batches_by_time_against_a_loop(spark):
