@@ -1,4 +1,4 @@
-"""Connected components of a graph given as edges, in rounds of joins."""
+"""Connected components of a graph given as edges, by contraction in rounds of joins."""
 
 from __future__ import annotations
 
@@ -11,21 +11,26 @@ from millrace.llm.common import written
 def components(edges: DataFrame) -> DataFrame:
     """The smallest node reachable from each node (``node``, ``label``), from edges of two long columns ``a``, ``b``.
 
-    In a round a node takes the smallest label among its neighbours', then the label of its label, so long paths
-    halve. Labels are written after every round; only the number of changes comes to the driver. Equal edges and
-    loops are allowed; no edges give no rows.
+    In a round every node is put into its smallest neighbour, if that is smaller, then twice into what that one is
+    put into. Edges are moved to the nodes their ends are in, and those within one node fall away, so each round
+    joins far fewer of them. Nodes and edges are written after every round; nothing but the question whether edges
+    are left comes to the driver. Equal edges and loops are allowed; no edges give no rows.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = written(both, "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
-    while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        nearer = labels.join(around, labels["node"] == around["a"]).select(
-            "node", "label", F.least("label", "near").alias("next")
-        )
-        far = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        jumped = nearer.join(far, nearer["next"] == far["_n"]).select("node", "label", F.least("next", "_l").alias("next"))
-        moved = written(jumped, "labels")
-        labels = moved.select("node", F.col("next").alias("label"))
-        if not moved.filter("label <> next").limit(1).count():
-            return labels
+    labels = written(
+        edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("label")), "labels"
+    )
+    left = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    while left.limit(1).count():
+        # The larger end of an edge takes the smaller; the smaller is named too, that it may be found.
+        ends = left.select("b", F.col("a").alias("into")).union(left.select(F.col("a").alias("b"), F.col("a").alias("into")))
+        into = written(ends.groupBy(F.col("b").alias("node")).agg(F.min("into").alias("into")), "into")
+        for _ in range(2):
+            further = into.select(F.col("node").alias("_at"), F.col("into").alias("_to"))
+            into = into.join(further, into["into"] == further["_at"]).select("node", F.col("_to").alias("into"))
+        into = written(into, "into")
+        moved = labels.join(into, labels["label"] == into["node"], "left")
+        labels = written(moved.select(labels["node"], F.coalesce("into", "label").alias("label")), "labels")
+        one, other = into.toDF("_n", "_a"), into.toDF("_m", "_b")
+        ends = left.join(one, left["a"] == one["_n"]).join(other, left["b"] == other["_m"]).where("_a <> _b")
+        left = written(ends.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges")
+    return labels
