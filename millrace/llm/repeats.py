@@ -164,6 +164,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     name = xxhash.xxh3_64_intdigest(string) - 2**63
                     put((name, 0, 0, string), (dkey, twin, begin))
         keys, places = list(kept), list(kept.values())
+        spans = joined_up(spans)
         n = len(spans)
         yield pa.RecordBatch.from_arrays(
             [
@@ -179,6 +180,17 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def joined_up(spans: list[tuple]) -> list[tuple]:
+    """Spans (dkey, twin, start, end) with those of a text that overlap or touch put together."""
+    out: list[tuple] = []
+    for dkey, twin, start, end in sorted(spans):
+        if out and out[-1][:2] == (dkey, twin) and start <= out[-1][3]:
+            out[-1] = (dkey, twin, out[-1][2], max(end, out[-1][3]))
+        else:
+            out.append((dkey, twin, start, end))
+    return out
+
+
 def _side(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, step: int) -> np.ndarray:
     """Rows of bytes from ``first`` on, forwards or backwards, zeros behind their sizes."""
     reach = np.arange(LENGTH + 4)
