@@ -1,7 +1,8 @@
 """Queries that run as streams to a sink and read it back.
 
-A stream gives out a window once the watermark passes it, so the check SQL keeps the
-windows that end before the largest event time less the lateness.
+The events come as several groups of files in the order of their times, one group to a
+micro-batch, and a last element far ahead, which lets the watermark pass every window
+but its own. So the check SQL covers all events.
 """
 
 from __future__ import annotations
@@ -15,17 +16,48 @@ from millrace.streaming import jobs as J
 from millrace.streaming import processors as P
 
 
+GROUPS, FILES = 3, 2
+AHEAD = F.expr("INTERVAL 10 YEARS")
+
+
+def _grouped_events(t):
+    """The events in ``GROUPS`` groups of ``FILES`` files by time, and a late drop-off ten years ahead, in folders.
+
+    A file source takes files by their time of writing, so the folders are written one after the other.
+    """
+    root = scratch_path(t.spark, "events")
+    events = t("events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(seconds, [k / GROUPS for k in range(1, GROUPS)]).alias("cuts")).first().cuts or []
+    bounds = [None, *cuts, None]
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        group = events if low is None else events.where(seconds > low)
+        group = group if high is None else group.where(seconds <= high)
+        group.repartition(FILES).write.parquet(f"{root}/group-{k}")
+    last = events.where("event_type = 'purchase'").orderBy(F.col("ts").desc(), "event_id").limit(1)
+    last.withColumn("ts", (F.col("ts") + AHEAD).cast(events.schema["ts"].dataType)).write.parquet(f"{root}/last")
+    return root
+
+
 class _Streamed(Tables):
-    """The same views over a stream of a table's files."""
+    """The same views over a stream of the events' files, with or without the element ahead."""
+
+    closing = True
 
     def __call__(self, name):
+        if name != "events":
+            raise ValueError(f"{name} does not come as a stream")
         schema = self.spark.read.parquet(f"{self.directory}/{name}.parquet").schema
-        # A file stream takes a folder or a glob; the brackets make a single file a glob.
-        return J.stream_files(self.spark, f"{self.directory}/{name}.parque[t]", schema)
+        root = _grouped_events(Tables(self.spark, self.directory))
+        return J.stream_files(self.spark, f"{root}/*" if self.closing else f"{root}/group-*", schema, files_per_batch=FILES)
 
 
-def _stream(t):
-    return _Streamed(t.spark, t.directory)
+class _Open(_Streamed):
+    closing = False
+
+
+def _stream(t, closing=True):
+    return (_Streamed if closing else _Open)(t.spark, t.directory)
 
 
 def _collect(t, writer_of):
@@ -35,17 +67,13 @@ def _collect(t, writer_of):
     return path
 
 
-PASSED = """
-WITH kept AS (SELECT * FROM rides WHERE ride_status {where}),
-bound AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - {lateness} * 1000000 AS wm FROM kept)
-"""
+KEPT = "WITH kept AS (SELECT * FROM rides WHERE ride_status {where})"
 
 
-@query("stream_windowed_sum", PASSED.format(where="<> 'enroute'", lateness=300) + """
+@query("stream_windowed_sum", KEPT.format(where="<> 'enroute'") + """
 SELECT window_start, window_start + 3600000000 AS window_end, ride_status,
   'status ' || ride_status || ' with ' || sum(passenger_count) || ' passengers' AS line
-FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 3600000000 AS window_start FROM kept), bound
-WHERE window_start + 3600000000 <= wm GROUP BY window_start, ride_status
+FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 3600000000 AS window_start FROM kept) GROUP BY window_start, ride_status
 """, uses=("rides",))
 def _(t):
     rides = _stream(t).view("rides").where(F.col("ride_status") != "enroute")
@@ -56,11 +84,10 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
-@query("sql_windowed_stream", PASSED.format(where="= 'dropoff'", lateness=300) + """
-SELECT window_start, count(*) AS n, round(sum(meter_reading) / nullif(sum(passenger_count), 0), 4) AS per_passenger,
+@query("sql_windowed_stream", KEPT.format(where="= 'dropoff'") + """
+SELECT window_start, count(*) AS n, CAST(sum(CAST(round(meter_reading * 100) AS BIGINT)) // nullif(sum(passenger_count), 0) AS BIGINT) AS per_passenger,
   epoch_us(max(ts)) AS last_us
-FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 21600000000 AS window_start FROM kept), bound
-WHERE window_start + 21600000000 <= wm GROUP BY window_start
+FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 21600000000 AS window_start FROM kept) GROUP BY window_start
 """, uses=("rides",))
 def _(t):
     """The window is put on the stream first; the SQL only groups by it."""
@@ -69,7 +96,7 @@ def _(t):
     windowed.createOrReplaceTempView("windowed_rides")
     result = t.spark.sql(
         """SELECT unix_micros(w.start) AS window_start, count(*) AS n,
-                  round(try_divide(sum(meter_reading), sum(passenger_count)), 4) AS per_passenger,
+                  sum(cast(round(meter_reading * 100) AS long)) div nullif(sum(passenger_count), 0) AS per_passenger,
                   unix_micros(max(ts)) AS last_us
            FROM windowed_rides GROUP BY w"""
     )
@@ -80,12 +107,12 @@ def _(t):
 @query("stream_windowed_files", """
 SELECT strftime(close, '%Y-%m-%d') AS day, strftime(close, '%H-%M') AS close, key, count(*) AS n FROM (
   SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 1 DAY AS close,
-         ride_status || CASE WHEN passenger_count > 2 THEN '-multiple' ELSE '-few' END AS key FROM rides)
+         ride_status || CASE WHEN passenger_count > 2 THEN '-group' ELSE '-small' END AS key FROM rides)
 GROUP BY 1, 2, 3
 """, uses=("rides",))
 def _(t):
-    key = F.concat("ride_status", F.when(F.col("passenger_count") > 2, "-multiple").otherwise("-few"))
-    rides = _stream(t).view("rides")
+    key = F.concat("ride_status", F.when(F.col("passenger_count") > 2, "-group").otherwise("-small"))
+    rides = _stream(t, closing=False).view("rides")
     path = _collect(t, lambda out, checkpoint: J.files_by_window(rides, "ts", key, out, checkpoint, 86400))
     # The folder names are dates and times of day: read them as text.
     names = "event_id long, day string, close string, key string"
@@ -94,7 +121,7 @@ def _(t):
 
 @query("stream_load_job", "SELECT ride_id, ride_status, meter_reading, passenger_count FROM rides", uses=("rides",))
 def _(t):
-    rides = _stream(t).view("rides").select("ride_id", "ride_status", "meter_reading", "passenger_count")
+    rides = _stream(t, closing=False).view("rides").select("ride_id", "ride_status", "meter_reading", "passenger_count")
     path = _collect(t, lambda out, checkpoint: J.load_job(rides, out, checkpoint, shards=5))
     return t.spark.read.parquet(path).drop("load")
 
@@ -127,26 +154,25 @@ def _(t):
     """
     root = _text_parts(t)
     named = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.col("path"))
-    seconds = F.lit(1)
-    rows = named.withColumn("s", seconds)
+    rows = named.withColumn("s", F.lit(1))
     noise = t.spark.range(1).select(F.lit("not a path").alias("path"), F.lit(2).alias("s"))
     closing = rows.orderBy("path").limit(1).withColumn("s", F.lit(7200))
     source = scratch_path(t.spark, "paths")
-    rows.unionByName(noise).unionByName(closing).select("path", F.timestamp_seconds("s").alias("ts")).write.parquet(source)
+    for part in (rows.unionByName(noise), closing):
+        part.select("path", F.timestamp_seconds("s").alias("ts")).write.mode("append").parquet(source)
     messages = J.stream_files(t.spark, source, "path string, ts timestamp")
-    path = _collect(t, lambda out, c: J.count_lines_of_paths(messages, "path", "ts", out, c, r"[a-z0-9]+:.*/.*"))
-    counted = J.stream_files(t.spark, f"{path}/messages/*", "path string, ts timestamp, lines long")
+    counted = J.count_lines_of_paths(messages, "path", "ts", r"[a-z0-9]+:.*/.*")
     sums = J.windowed_aggregate(counted, "ts", [], [F.sum("lines").alias("lines")], 300, 300)
     final = _collect(t, lambda out, checkpoint: J.append_files(sums, out, checkpoint))
     return t.spark.read.parquet(final).select("lines", "window_start")
 
 
-@query("stream_session", PASSED.format(where="<> 'enroute'", lateness=300) + """
+@query("stream_session", KEPT.format(where="<> 'enroute'") + """
 , marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
             FROM kept WINDOW w AS (PARTITION BY ride_id ORDER BY ts)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY ride_id ORDER BY ts, event_id) AS session FROM marked)
 SELECT ride_id, epoch_us(min(ts)) AS window_start, epoch_us(max(ts)) + 21600000000 AS window_end, count(*) AS n
-FROM numbered, bound GROUP BY ride_id, session, wm HAVING epoch_us(max(ts)) + 21600000000 - 1 <= wm
+FROM numbered GROUP BY ride_id, session
 """, uses=("rides",))
 def _(t):
     rides = _stream(t).view("rides").where(F.col("ride_status") != "enroute")
@@ -159,7 +185,6 @@ def _(t):
 SELECT ride_status, window_start, window_start + 21600000000 AS window_end, CAST(0 AS INTEGER) AS pane_index,
   'ON_TIME' AS pane_timing, count(*) AS n, CAST(sum(passenger_count) AS BIGINT) AS total
 FROM (SELECT *, epoch_us(ts) - epoch_us(ts) % 21600000000 AS window_start FROM rides)
-WHERE window_start + 21600000000 <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM rides)
 GROUP BY ride_status, window_start
 """, uses=("rides",))
 def _(t):
@@ -169,12 +194,26 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
-@query("stream_batches_by_count", """
-SELECT ride_status, batch, CAST(count(*) AS BIGINT) AS n FROM (
-  SELECT ride_status, (row_number() OVER (PARTITION BY ride_status ORDER BY event_id) - 1) // 100 AS batch FROM rides)
-GROUP BY ALL HAVING count(*) = 100
+SHARDS = 4
+
+
+def _sharded(t):
+    """Rides as (ride_status, shard, event_id), and behind them a null for each buffer, which releases the rest."""
+    source = scratch_path(t.spark, "sharded")
+    rides = t.view("rides").select("ride_status", F.pmod("event_id", F.lit(SHARDS)).alias("shard"), "event_id")
+    rides.repartition(FILES).write.parquet(f"{source}/rides")
+    ends = rides.select("ride_status", "shard").distinct().withColumn("event_id", F.lit(None).cast("long"))
+    ends.coalesce(1).write.parquet(f"{source}/ends")
+    return J.stream_files(t.spark, f"{source}/*", rides.schema, files_per_batch=FILES)
+
+
+@query("stream_batches_by_count", f"""
+SELECT ride_status, shard, batch, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT ride_status, event_id % {SHARDS} AS shard,
+    (row_number() OVER (PARTITION BY ride_status, event_id % {SHARDS} ORDER BY event_id) - 1) // 100 AS batch FROM rides)
+GROUP BY ALL
 """, uses=("rides",))
 def _(t):
-    batches = P.stream_batches_by_count(_stream(t).view("rides"), "ride_status", F.col("event_id"), F.lit(100))
+    batches = P.stream_batches_by_count(_sharded(t), ["ride_status", "shard"], F.col("event_id"), F.lit(100))
     path = _collect(t, lambda out, checkpoint: J.append_files(batches, out, checkpoint))
-    return t.spark.read.parquet(path).select("ride_status", "batch", F.size("items").cast("long").alias("n"))
+    return t.spark.read.parquet(path).select("ride_status", "shard", "batch", F.size("items").cast("long").alias("n"))

@@ -6,9 +6,14 @@ it, so a batch that is run again after a failure leaves no second copy.
 
 from __future__ import annotations
 
+import fnmatch
+import re
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -116,44 +121,52 @@ def files_by_window(
     return each_batch(named, write, path, checkpoint)
 
 
-def count_lines_of_paths(
-    messages: DataFrame, path: str, ts: str, out: str, checkpoint: str, pattern: str = STORAGE_PATH_PATTERN, at_once: int = 1000
-) -> DataStreamWriter:
-    """Reads the files that messages name and gives (path, ts, lines) per message.
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path or URI and the place in it; a local place is taken as it is written."""
+    if local := re.fullmatch(r"(?:file:/*)?(/.*|[^:]*)", path):
+        return fs.LocalFileSystem(), "/" + local[1].lstrip("/")
+    return fs.FileSystem.from_uri(quote(path, safe=":/?=&*[]"))
+
+
+def _files_of(path: str) -> list[tuple[fs.FileSystem, str]]:
+    """The files that a path or glob names; an error when there are none."""
+    store, place = _place(path)
+    if not re.search(r"[*?\[]", place):
+        found = [place] if store.get_file_info(place).type == fs.FileType.File else []
+    else:
+        base = re.split(r"[^/]*[*?\[]", place, maxsplit=1)[0]
+        whole = re.compile("/".join(fnmatch.translate(part)[:-2].replace(".*", "[^/]*") for part in place.split("/")) + r"\Z")
+        within = store.get_file_info(fs.FileSelector(base, recursive="/" in place[len(base) :], allow_not_found=True))
+        found = sorted(f.path for f in within if f.type == fs.FileType.File and whole.match(f.path))
+    if not found:
+        raise FileNotFoundError(f"no file for {path}")
+    return [(store, f) for f in found]
+
+
+def _count_lines(store: fs.FileSystem, place: str, piece: int = 8 << 20) -> int:
+    """Lines of a file, read piece by piece; a last line needs no line feed, an empty file has none."""
+    lines, last = 0, b"\n"
+    with store.open_input_stream(place) as file:
+        while data := file.read(piece):
+            lines, last = lines + data.count(b"\n"), data[-1:]
+    return lines + (last != b"\n")
 
-    Texts that are no path are left out; a path without a file is an error. Only the
-    distinct paths of one micro-batch pass the driver, ``at_once`` of them per read.
+
+def count_lines_of_paths(messages: DataFrame, path: str, ts: str, pattern: str = STORAGE_PATH_PATTERN) -> DataFrame:
+    """One row (path, ts, lines) for each message that names a file or a glob.
+
+    Texts that are no path are left out; a path or glob without a file is an error. Globs
+    are expanded and files read in the tasks that hold the messages, in bounded pieces.
     """
     valid = messages.where(matches_whole(F.col(path), pattern)).select(F.col(path).alias("path"), F.col(ts).alias("ts"))
 
-    def write(rows: DataFrame, folder: str) -> None:
-        spark = rows.sparkSession
-        group: list[str] = []
-        part = 0
-
-        def flush() -> None:
-            nonlocal group, part
-            lines = spark.read.text(group, lineSep="\n").select(F.col("_metadata.file_path").alias("file"))
-            counted = lines.groupBy("file").agg(F.count("*").alias("lines"))
-            counted.write.mode("overwrite").parquet(f"{folder}/counted={part}")
-            group, part = [], part + 1
-
-        for row in rows.select("path").distinct().toLocalIterator():
-            group.append(row.path)
-            if len(group) >= at_once:
-                flush()
-        if group:
-            flush()
-        if not part:
-            return
-        counts = spark.read.parquet(folder).select("file", "lines")
-        plain = F.regexp_replace("file", "^file:/+", "file:/")
-        asked = rows.withColumn("file", F.regexp_replace("path", "^file:/+", "file:/"))
-        asked.join(counts.withColumn("file", plain), "file").select("path", "ts", "lines").write.mode("overwrite").parquet(
-            folder.replace(out, f"{out}/messages")
-        )
-
-    return each_batch(valid, write, out, checkpoint)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [sum(_count_lines(*file) for file in _files_of(p)) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=["path", "ts", "lines"])
+
+    kind = valid.schema["ts"].dataType.simpleString()
+    return valid.mapInArrow(read, f"path string, ts {kind}, lines long")
 
 
 def new_checkpoint(spark: SparkSession) -> str:

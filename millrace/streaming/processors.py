@@ -11,6 +11,7 @@ from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.times import SECOND, micros, window_start
@@ -19,7 +20,7 @@ from millrace.operators.triggers import NO_WATERMARK, Trigger, WindowFold, Windo
 from millrace.session import STATE_STORE
 
 PANE_STATE = (
-    "n long, total long, first long, timely boolean, step int, passed boolean, on_time_seen boolean, "
+    "n long, total {total}, first long, timely boolean, step int, passed boolean, on_time_seen boolean, "
     "pane_index int, closed boolean"
 )
 
@@ -35,12 +36,13 @@ def use_state_store(spark: SparkSession) -> None:
 class PaneProcessor(StatefulProcessor):
     """Panes of one key and fixed window; key columns end with ``window_start``."""
 
-    def __init__(self, trigger: Trigger, size_us: int, lateness_us: int, held_back_us: int):
+    def __init__(self, trigger: Trigger, size_us: int, lateness_us: int, held_back_us: int, total: str):
         self.trigger, self.size, self.lateness, self.held_back = trigger, size_us, lateness_us, held_back_us
+        self.total = total
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("pane", PANE_STATE)
+        self.state = handle.getValueState("pane", PANE_STATE.format(total=self.total))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         fold, fresh = self._load(key, timerValues)
@@ -118,7 +120,9 @@ def stream_panes(
     use_state_store(stream.sparkSession)
     held_back = size_seconds + lateness_seconds
     start = window_start(micros(F.col(ts)), size_seconds * SECOND).alias("window_start")
-    rows = stream.select(*keys, start, micros(F.col(ts)).alias("_us"), F.col(value).cast("long").alias("_total"))
+    # Sums keep the kind of their values, as in the batch form.
+    total = "long" if isinstance(stream.select(value).schema[0].dataType, IntegralType) else "double"
+    rows = stream.select(*keys, start, micros(F.col(ts)).alias("_us"), F.col(value).cast(total).alias("_total"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     width = len(keys) + 1
 
@@ -136,17 +140,17 @@ def stream_panes(
 
     # A micro-batch is atomic for the trigger, so a hot key is folded before the shuffle.
     named = "".join(f"`{k}` {types[k]}, " for k in keys)
-    folded = map_rows(rows, fold, f"{named}window_start long, _us long, _n long, _total long")
+    folded = map_rows(rows, fold, f"{named}window_start long, _us long, _n long, _total {total}")
     rows = folded.withColumn("_ts", F.timestamp_micros("_us")).withWatermark("_ts", f"{held_back} seconds")
     key_types = "".join(f"key{i} {types[k]}, " for i, k in enumerate(keys))
-    schema = key_types + "window_start long, window_end long, pane_index int, pane_timing string, n long, total long"
-    processor = PaneProcessor(trigger, size_seconds * SECOND, lateness_seconds * SECOND, held_back * SECOND)
+    schema = key_types + "window_start long, window_end long, pane_index int, pane_timing string, n long, " + f"total {total}"
+    processor = PaneProcessor(trigger, size_seconds * SECOND, lateness_seconds * SECOND, held_back * SECOND, total)
     panes = rows.groupBy(*keys, "window_start").transformWithState(processor, schema, "Append", "EventTime")
     return panes.select(*[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)], *panes.columns[len(keys) :])
 
 
 class CountBuffer(StatefulProcessor):
-    """Holds the values of a key and releases them ``limit`` at a time."""
+    """Holds the values of a key and releases them ``limit`` at a time; a null value releases the rest."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.values = handle.getListState("values", "value string")
@@ -157,9 +161,11 @@ class CountBuffer(StatefulProcessor):
         held, batch = self.meta.get() if self.meta.exists() else (0, 0)
         items = [v[0] for v in self.values.get()] if held else []
         for row in rows:
-            items.append(row["_value"])
-            if len(items) >= row["_limit"]:
-                yield Row(key=key[0], batch=batch, items=items)
+            last = row["_value"] is None
+            if not last:
+                items.append(row["_value"])
+            if items and (last or len(items) >= row["_limit"]):
+                yield Row(**_named(key), batch=batch, items=items)
                 items, batch = [], batch + 1
         if items:
             self.values.put([(item,) for item in items])
@@ -171,7 +177,7 @@ class CountBuffer(StatefulProcessor):
 
 
 class TimeBuffer(StatefulProcessor):
-    """Holds the values of a key; the first sets a processing-time timer that releases them.
+    """Holds the values of a key; the first sets a processing-time timer that releases them, as a null value does.
 
     A release is as many rows of at most ``ITEMS_PER_ROW`` values as it needs.
     """
@@ -182,39 +188,57 @@ class TimeBuffer(StatefulProcessor):
         self.due = handle.getValueState("due", "at long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        delay = 0
+        delay, last = 0, False
         while piece := list(islice(rows, ITEMS_PER_ROW)):
             delay = piece[0]["_limit"]
-            self.values.appendList([(row["_value"],) for row in piece])
-        if not self.due.exists():
+            last |= any(row["_value"] is None for row in piece)
+            if values := [(row["_value"],) for row in piece if row["_value"] is not None]:
+                self.values.appendList(values)
+        if last:
+            yield from self._release(key, timerValues.getCurrentProcessingTimeInMs())
+        elif not self.due.exists():
             at = timerValues.getCurrentProcessingTimeInMs() + delay * 1000
             self.handle.registerTimer(at)
             self.due.update((at,))
-        return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at, held = self.due.get()[0], self.values.get()
-        while piece := list(islice(held, ITEMS_PER_ROW)):
-            yield Row(key=key[0], batch=at, items=[v[0] for v in piece])
-        self.values.clear()
+        if self.due.exists():
+            yield from self._release(key, self.due.get()[0])
+
+    def _release(self, key: tuple, at: int) -> Iterator[Row]:
+        if self.values.exists():
+            held = self.values.get()
+            while piece := list(islice(held, ITEMS_PER_ROW)):
+                yield Row(**_named(key), batch=at, items=[v[0] for v in piece])
+            self.values.clear()
         self.due.clear()
 
     def close(self) -> None: ...
 
 
-def _buffered(stream: DataFrame, key: str, value: Column, bound: Column, processor: StatefulProcessor, mode: str) -> DataFrame:
+def _named(key: tuple) -> dict:
+    return {f"key{i}": part for i, part in enumerate(key)}
+
+
+def _buffered(
+    stream: DataFrame, keys: Sequence[str], value: Column, bound: Column, processor: StatefulProcessor, mode: str
+) -> DataFrame:
     use_state_store(stream.sparkSession)
-    rows = stream.select(F.col(key), value.cast("string").alias("_value"), bound.cast("int").alias("_limit"))
-    kind = rows.schema[key].dataType.simpleString()
-    schema = f"key {kind}, batch long, items array<string>"
-    return rows.groupBy(key).transformWithState(processor, schema, "Append", mode).withColumnRenamed("key", key)
+    rows = stream.select(*keys, value.cast("string").alias("_value"), bound.cast("int").alias("_limit"))
+    kinds = "".join(f"key{i} {rows.schema[k].dataType.simpleString()}, " for i, k in enumerate(keys))
+    buffered = rows.groupBy(*keys).transformWithState(processor, f"{kinds}batch long, items array<string>", "Append", mode)
+    return buffered.withColumnsRenamed({f"key{i}": k for i, k in enumerate(keys)})
+
 
+def stream_batches_by_count(stream: DataFrame, keys: Sequence[str], value: Column, limit: Column) -> DataFrame:
+    """Batches of ``limit`` values per key, as soon as each is full; a null value gives out the rest.
 
-def stream_batches_by_count(stream: DataFrame, key: str, value: Column, limit: Column) -> DataFrame:
-    """Batches of ``limit`` values per key, as soon as each is full."""
-    return _buffered(stream, key, value, limit, CountBuffer(), "None")
+    A hot key is one state and one task at a time: put a shard column (a hash of the row)
+    beside it in ``keys`` to spread it.
+    """
+    return _buffered(stream, keys, value, limit, CountBuffer(), "None")
 
 
-def stream_batches_by_time(stream: DataFrame, key: str, value: Column, delay_seconds: Column) -> DataFrame:
-    """Batches per key, given out ``delay_seconds`` after their first value came."""
-    return _buffered(stream, key, value, delay_seconds, TimeBuffer(), "ProcessingTime")
+def stream_batches_by_time(stream: DataFrame, keys: Sequence[str], value: Column, delay_seconds: Column) -> DataFrame:
+    """Batches per key, given out ``delay_seconds`` after their first value came, or with a null value."""
+    return _buffered(stream, keys, value, delay_seconds, TimeBuffer(), "ProcessingTime")

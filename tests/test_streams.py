@@ -2,6 +2,7 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import panes as batch_panes
@@ -50,19 +51,49 @@ def test_count_buffer_keeps_the_rest(spark):
     schema = "k string, n long"
     path = drops(spark, [[("a", n) for n in range(0, 7)], [("a", n) for n in range(7, 12)] + [("b", 0)]], schema)
     stream = J.stream_files(spark, path, schema, files_per_batch=1)
-    got = collect(spark, P.stream_batches_by_count(stream, "k", F.col("n"), F.lit(5))).collect()
+    got = collect(spark, P.stream_batches_by_count(stream, ["k"], F.col("n"), F.lit(5))).collect()
     assert sorted((r.k, r.batch, sorted(map(int, r["items"]))) for r in got) == [
         ("a", 0, [0, 1, 2, 3, 4]),
         ("a", 1, [5, 6, 7, 8, 9]),
     ]
 
 
+def test_null_gives_out_the_rest(spark):
+    schema = "k string, n long"
+    path = drops(spark, [[("a", n) for n in range(0, 7)], [("a", None), ("b", None)]], schema)
+    stream = J.stream_files(spark, path, schema, files_per_batch=1)
+    got = collect(spark, P.stream_batches_by_count(stream, ["k"], F.col("n"), F.lit(5))).collect()
+    assert sorted((r.k, r.batch, len(r["items"])) for r in got) == [("a", 0, 5), ("a", 1, 2)]
+
+
+def test_lines_of_paths(spark, tmp_path):
+    for name, content in {"c.txt": "1\n2\n", "a b.txt": "1", "e.txt": "", "g1.log": "1\n2", "g2.log": "3\n", "g/deep.log": "9"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(content)
+    names = ["c.txt", "a b.txt", "e.txt", "g*.log", "*/deep.log", "no path"]
+    messages = [(n if n == "no path" else f"file:{tmp_path}/{n}", k) for k, n in enumerate(names)]
+    stream = J.stream_files(spark, drops(spark, [messages], "path string, k long"), "path string, k long")
+    counted = J.count_lines_of_paths(stream, "path", "k", r"file:/.*")
+    assert {r.ts: r.lines for r in collect(spark, counted).collect()} == {0: 2, 1: 1, 2: 0, 3: 3, 4: 1}
+    missing = spark.createDataFrame([(f"file:{tmp_path}/x*", 0)], "path string, k long")
+    with pytest.raises(Exception, match="no file for"):
+        J.count_lines_of_paths(missing, "path", "k", r"file:/.*").collect()
+
+
+def test_stream_panes_keep_fractions(spark):
+    rows = [[("a", 1_000_000.0, 0.75), ("a", 1_000_001.0, 0.75)], [("a", 2_000_000.0, 1.0)]]
+    schema = "k string, s double, v double"
+    stream = J.stream_files(spark, drops(spark, rows, schema), schema, files_per_batch=1).withColumn("ts", F.timestamp_seconds("s"))
+    got = collect(spark, P.stream_panes(stream, ["k"], "ts", "v", T.default_trigger(), 10, 5)).collect()
+    assert [(r.n, r.total) for r in got] == [(2, 1.5)]
+
+
 def test_time_buffer_releases_on_the_timer(spark):
     schema = "k string, n long"
     path = drops(spark, [[("a", 1), ("a", 2)]], schema)
     stream = J.stream_files(spark, path, schema, files_per_batch=1)
     out = scratch_path(spark, "out")
-    buffered = P.stream_batches_by_time(stream, "k", F.col("n"), F.lit(1))
+    buffered = P.stream_batches_by_time(stream, ["k"], F.col("n"), F.lit(1))
     query = J.append_files(buffered, out, J.new_checkpoint(spark)).trigger(processingTime="200 milliseconds").start()
     try:
         deadline = time.time() + 60
