@@ -148,6 +148,14 @@ def count_at_least(df: DataFrame, value: str, minimum: int, strict: bool = False
     return kept.agg(F.count("*").alias("n"))
 
 
+def count_comparisons(df: DataFrame, value: str, minimum: int) -> DataFrame:
+    """The counts above the threshold, from it on, and of all rows, in one pass: (comparison, n)."""
+    counts = df.agg(
+        F.count_if(F.col(value) > minimum).alias("strict"), F.count_if(F.col(value) >= minimum).alias("inclusive"), F.count("*").alias("all")
+    )
+    return counts.unpivot([], ["strict", "inclusive", "all"], "comparison", "n")
+
+
 def metric_columns(status: str, people: str, cost: str) -> list[Column]:
     """Counters and a distribution over rides: count per status, net people, cost of drop-offs."""
     is_pickup, is_dropoff = F.col(status) == "pickup", F.col(status) == "dropoff"

@@ -34,7 +34,7 @@ def route_logs(df: DataFrame, present: Column, severity: Column, level: str = "E
 def error_messages(routed: DataFrame) -> DataFrame:
     """Processed logs as messages: text and attributes."""
     kept = routed.where(F.col("output") == PROCESSED)
-    text = F.concat(F.lit("Error log message: "), "log.jsonPayload.message", F.lit(" ["), "log.timestamp", F.lit("]"))
+    text = F.concat(F.lit("Log of level error: "), "log.jsonPayload.message", F.lit(" ["), "log.timestamp", F.lit("]"))
     attributes = F.create_map(F.lit("timestamp"), "log.timestamp", F.lit("message"), "log.jsonPayload.message")
     return kept.select(F.col("log.insertId").alias("event_id"), text.alias("data"), attributes.alias("attributes"))
 

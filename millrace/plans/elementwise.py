@@ -172,14 +172,7 @@ UNION ALL SELECT 'all', count(*) FROM customer
 """)
 def _(t):
     population = t("customer").select(F.abs("c_acctbal").cast("long").alias("population"))
-    strict = E.count_at_least(population, "population", 5000, strict=True)
-    inclusive = E.count_at_least(population, "population", 5000)
-    everything = population.agg(F.count("*").alias("n"))
-    return E.union_all(
-        strict.withColumn("comparison", F.lit("strict")),
-        inclusive.withColumn("comparison", F.lit("inclusive")),
-        everything.withColumn("comparison", F.lit("all")),
-    )
+    return E.count_comparisons(population, "population", 5000)
 
 
 @query("custom_metrics", """

@@ -16,10 +16,17 @@ def _field(name):
     return F.col("line").contains(name)
 
 
-@query("log_dlq_messages", """
-SELECT event_id, 'Error log message: ' || message || ' [' || stamp || ']' AS data, stamp AS ts, message, 'processed' AS output
+# The JSON line of a log record.
+RAW = """CASE WHEN mention_only THEN '{"note":"severity jsonPayload unknown","n":' || event_id || '}' ELSE
+  '{"insertId":' || event_id || CASE WHEN severity IS NOT NULL THEN ',"severity":"' || severity || '"' ELSE '' END
+  || CASE WHEN message IS NOT NULL THEN ',"jsonPayload":{"message":"' || message || '"}' ELSE '' END
+  || ',"resource":{"resourceName":"' || resource_name || '","event_type":"' || event_type || '"},"timestamp":"' || stamp || '"}' END"""
+
+
+@query("log_dlq_messages", f"""
+SELECT event_id, 'Log of level error: ' || message || ' [' || stamp || ']' AS data, stamp AS ts, message, 'processed' AS output
 FROM logs WHERE NOT mention_only AND severity IS NOT NULL AND message IS NOT NULL AND upper(severity) = 'ERROR'
-UNION ALL SELECT event_id, NULL, NULL, NULL, 'dead_letter' FROM logs
+UNION ALL SELECT event_id, {RAW}, NULL, NULL, 'dead_letter' FROM logs
 WHERE mention_only OR severity IS NULL OR message IS NULL
 """, uses=("logs",))
 def _(t):
@@ -33,7 +40,8 @@ def _(t):
         F.col("attributes")["message"].alias("message"),
         F.lit("processed").alias("output"),
     )
-    dead = L.dead_letters(routed).select("event_id", "output")
+    # A dead letter is the raw line.
+    dead = L.dead_letters(routed).select("event_id", "output", F.col("line").alias("data"))
     return processed.unionByName(dead, allowMissingColumns=True)
 
 
@@ -96,14 +104,16 @@ def _(t):
     return kept.select(F.col("log.timestamp").alias("ts"), message.alias("message"), "output")
 
 
-@query("log_dlq_insert", """
-SELECT event_id AS id, message, stamp AS timestr FROM logs
+@query("log_dlq_insert", f"""
+SELECT event_id AS id, message, stamp AS timestr, 'table' AS output FROM logs
 WHERE NOT mention_only AND severity IS NOT NULL AND message IS NOT NULL AND upper(severity) = 'ERROR'
-UNION ALL SELECT -1 - c_custkey, c_name, NULL FROM customer
+UNION ALL SELECT -1 - c_custkey, c_name, NULL, 'table' FROM customer
+UNION ALL SELECT NULL, {RAW}, NULL, 'dead_letter' FROM logs WHERE mention_only OR severity IS NULL OR message IS NULL
 """, uses=("logs",))
 def _(t):
-    """The processed rows are inserted into a keyed table that has rows already."""
-    processed = _from_text(t).where(F.col("output") == L.PROCESSED)
+    """The processed rows are inserted into a keyed table that has rows already; dead letters are a second output."""
+    routed = _from_text(t)
+    processed = routed.where(F.col("output") == L.PROCESSED)
     rows = processed.select(
         F.lit(stores.INSERT).alias("op"),
         F.col("log.insertId").alias("id"),
@@ -113,4 +123,6 @@ def _(t):
     target = t("customer").select(
         (-1 - F.col("c_custkey")).alias("id"), F.col("c_name").alias("message"), F.lit(None).cast("string").alias("timestr")
     )
-    return stores.apply_mutations(target, stores.judge_mutations(target, rows, "id"), "id")
+    after = stores.apply_mutations(target, stores.judge_mutations(target, rows, "id"), "id")
+    dead = L.dead_letters(routed).select(F.col("line").alias("message"), "output")
+    return after.withColumn("output", F.lit("table")).unionByName(dead, allowMissingColumns=True)

@@ -43,13 +43,19 @@ def write_serialised(df: DataFrame, path: str, serialise: Column | None = None,
     write_text(df.select(text.alias("value")), path, shards=shards)
 
 
-def write_records(df: DataFrame, path: str, fmt: str = "parquet", required: Sequence[str] = (), shards: int = 0) -> None:
-    """Parquet or Avro records; a null in a required field fails the write."""
+def write_records(
+    df: DataFrame, path: str, fmt: str = "parquet", required: Sequence[str] = (), shards: int = 0, avro_schema: str | None = None
+) -> None:
+    """Parquet or Avro records; a null in a required field fails the write.
+
+    ``avro_schema`` is the writer's schema as JSON. A format whose connector is missing is an error.
+    """
     checked = df
     for name in required:
         fault = F.raise_error(F.lit(f"null in required field {name}"))
         checked = checked.withColumn(name, F.when(F.col(name).isNull(), fault).otherwise(F.col(name)))
-    _sharded(checked, shards).write.format(fmt).save(path)
+    writer = _sharded(checked, shards).write.format(fmt)
+    (writer.option("avroSchema", avro_schema) if avro_schema else writer).save(path)
 
 
 def write_by_key(df: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:

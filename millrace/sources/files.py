@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,20 +34,22 @@ def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame
     return spark.read.json(path, schema=schema, multiLine=True)
 
 
-def available_format(spark: SparkSession, preferred: str, otherwise: str = "parquet") -> str:
-    """``preferred`` when its connector is on the class path."""
+def has_format(spark: SparkSession, name: str) -> bool:
+    """Whether the connector of a format is on the class path."""
     try:
-        spark.read.format(preferred).schema("x int").load("")
-    except AnalysisException as error:
-        if "DATA_SOURCE_NOT_FOUND" in str(error) or "Failed to find" in str(error):
-            return otherwise
-    except Exception as error:
-        if "DATA_SOURCE_NOT_FOUND" in str(error) or "Failed to find" in str(error):
-            return otherwise
-    return preferred
-
-
-def read_records(spark: SparkSession, path: str, fields: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Avro or Parquet records, only the named fields read from storage."""
-    records = spark.read.format(fmt).load(path)
+        spark.read.format(name).schema("x int").load("")
+    except Exception as error:  # the class of the error differs between versions
+        return not re.search("DATA_SOURCE_NOT_FOUND|Failed to find", str(error))
+    return True
+
+
+def read_records(
+    spark: SparkSession, path: str, fields: Sequence[str] = (), fmt: str = "parquet", avro_schema: str | None = None
+) -> DataFrame:
+    """Avro or Parquet records, only the named fields read from storage.
+
+    ``avro_schema`` is the reader's schema as JSON. A format whose connector is missing is an error.
+    """
+    reader = spark.read.format(fmt)
+    records = (reader.option("avroSchema", avro_schema) if avro_schema else reader).load(path)
     return records.select(*fields) if fields else records

@@ -124,3 +124,45 @@ def test_scan_is_pushed_down(spark, sf_dir):
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in plan and "GreaterThan(l_quantity," in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in plan
+
+
+def test_destinations_are_all_written_or_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n int, d string")
+    paths = tables.write_destinations(rows, "d", {"a": ["n"], "b": ["n", "d"]}, str(tmp_path / "kept"))
+    assert [spark.read.parquet(paths[k]).count() for k in "ab"] == [2, 1]
+    for stray in ("c", None):
+        more = rows.unionByName(spark.createDataFrame([(4, stray)], "n int, d string"))
+        with pytest.raises(Exception, match="no such destination"):
+            tables.write_destinations(more, "d", {"a": ["n"], "b": ["n"]}, str(tmp_path / f"refused-{stray}"))
+
+
+def test_unknown_columns_are_refused(spark):
+    spark.range(3).createOrReplaceTempView("unused_view")
+    name = "narrow_table_of_the_tests"
+    tables.write_table(spark.range(3), name, "truncate")
+    try:
+        with pytest.raises(ValueError, match="no column extra"):
+            tables.write_table(spark.range(3).withColumn("extra", F.lit(1)), name)
+        assert spark.table(name).count() == 3
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_mutations_without_a_key_are_rejected_rows(spark):
+    target = spark.createDataFrame([(1, "x")], "id int, v string")
+    asked = spark.createDataFrame([("insert", None, "y"), ("insert", None, "z"), ("insert", 2, "w")], "op string, id int, v string")
+    judged = stores.judge_mutations(target, asked, "id").collect()
+    assert sorted((r.id or 0, r.valid) for r in judged) == [(0, False), (0, False), (2, True)]
+
+
+def test_ids_are_the_same_when_computed_again(spark):
+    rows = spark.createDataFrame([(1, None), (2, "b")], "n int, d string")
+    first, again = (sorted(r.uuid for r in messages.with_id(rows, ["n", "d"]).collect()) for _ in range(2))
+    assert first == again and len(set(first)) == 2
+
+
+def test_a_missing_connector_is_an_error(spark, tmp_path):
+    assert files.has_format(spark, "parquet") and not files.has_format(spark, "nosuchformat")
+    if not files.has_format(spark, "avro"):
+        with pytest.raises(Exception):
+            file_sinks.write_records(spark.range(1), str(tmp_path / "x"), "avro", avro_schema="{}")
