@@ -35,9 +35,8 @@ def _(t):
 
 @query("pane_default_trigger", f"WITH {JUDGED.strip()} SELECT {', '.join(COLUMNS)} FROM panes", uses=VIEWS)
 def _(t):
-    """The default trigger through the general replay."""
-    panes = P.trigger_panes(t.view("arrivals"), ["k"], "cents", T.default_trigger(), SIZE, LATENESS)
-    return panes.select(*COLUMNS)
+    """The default trigger: a pane on time, then one for each late batch."""
+    return P.default_panes(t.view("arrivals"), ["k"], "cents", SIZE, LATENESS).select(*COLUMNS)
 
 
 @query("pane_discarding", f"WITH {JUDGED.strip()} SELECT {', '.join(COLUMNS)} FROM panes", uses=VIEWS)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from pyspark.sql.datasource import (
 CRC32C_POLYNOMIAL = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 
-BATCH_RECORDS = 2048
+BATCH_RECORDS, BATCH_BYTES = 2048, 16 << 20
+BLOCK = 4096
 
 
 def _crc_table() -> np.ndarray:
@@ -38,72 +40,109 @@ def _crc_table() -> np.ndarray:
 
 
 _TABLE = _crc_table()
+_STEPS = _TABLE.tolist()
 
 
-def masked_crc(values: list[bytes]) -> np.ndarray:
-    """Masked CRC-32C of many byte strings at once, one byte position per step."""
-    lengths = np.array([len(v) for v in values], dtype=np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    joined = np.frombuffer(b"".join(values), dtype=np.uint8)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))[order] if len(values) else np.array([], dtype=np.int64)
-    sizes = lengths[order]
-    crc = np.full(len(values), 0xFFFFFFFF, dtype=np.uint32)
-    alive = len(values)
-    for position in range(int(sizes[0]) if len(sizes) else 0):
+def _advance(crc: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The checksum states after the bytes of each piece, one byte position per step for all pieces."""
+    order = np.argsort(-sizes, kind="stable")
+    state, starts, sizes = crc[order], starts[order], sizes[order]
+    alive = len(state)
+    for position in range(int(sizes[0]) if alive else 0):
         while sizes[alive - 1] <= position:
             alive -= 1
-        head = crc[:alive]
-        byte = joined[starts[:alive] + position]
-        crc[:alive] = (head >> np.uint32(8)) ^ _TABLE[(head ^ byte) & np.uint32(0xFF)]
+        head = state[:alive]
+        state[:alive] = (head >> np.uint32(8)) ^ _TABLE[(head ^ data[starts[:alive] + position]) & np.uint32(0xFF)]
+    out = np.empty_like(state)
+    out[order] = state
+    return out
+
+
+@lru_cache(maxsize=1)
+def _block_tables() -> list[list[int]]:
+    """What a block of zero bytes makes of each byte of a state; a state's four bytes add up by exclusive or."""
+    states = (np.arange(256, dtype=np.uint32)[None] << np.array([[0], [8], [16], [24]], np.uint32)).ravel()
+    zeros = np.zeros(BLOCK, np.uint8)
+    none = np.zeros(len(states), np.int64)
+    return _advance(states, zeros, none, none + BLOCK).reshape(4, 256).tolist()
+
+
+def masked_crc(values: list[bytes]) -> np.ndarray:
+    """Masked CRC-32C of many byte strings at once.
+
+    A long string is cut into blocks of ``BLOCK`` bytes behind a first shorter piece; the pieces go
+    through together and their checksums are put together, so the steps don't grow with the length.
+    """
+    lengths = np.array([len(v) for v in values], dtype=np.int64)
+    blocks = np.maximum(lengths - 1, 0) // BLOCK
+    first = lengths - blocks * BLOCK
+    begins = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(values) else np.empty(0, np.int64)
+    piece_of = np.repeat(np.arange(len(values)), blocks + 1)
+    nth = np.arange(len(piece_of)) - np.repeat(np.cumsum(blocks + 1) - blocks - 1, blocks + 1)
+    starts = begins[piece_of] + np.where(nth == 0, 0, first[piece_of] + (nth - 1) * BLOCK)
+    sizes = np.where(nth == 0, first[piece_of], BLOCK)
+    initial = np.where(nth == 0, 0xFFFFFFFF, 0).astype(np.uint32)
+    states = _advance(initial, np.frombuffer(b"".join(values), np.uint8), starts, sizes)
+    crc = states[nth == 0].copy()
+    for i in np.flatnonzero(blocks):
+        t0, t1, t2, t3 = _block_tables()
+        state = int(crc[i])
+        for block in states[(piece_of == i) & (nth > 0)].tolist():
+            state = t0[state & 255] ^ t1[state >> 8 & 255] ^ t2[state >> 16 & 255] ^ t3[state >> 24] ^ block
+        crc[i] = state
     crc = ~crc
     rotated = (crc >> np.uint32(15)) | (crc << np.uint32(17))
-    out = np.empty(len(values), dtype=np.uint32)
-    out[order] = rotated + np.uint32(MASK_DELTA)
-    return out
+    return rotated + np.uint32(MASK_DELTA)
+
+
+def head_crc(head: bytes) -> int:
+    """Masked CRC-32C of the eight bytes of a length."""
+    state = 0xFFFFFFFF
+    for byte in head:
+        state = (state >> 8) ^ _STEPS[(state ^ byte) & 255]
+    state ^= 0xFFFFFFFF
+    return ((state >> 15 | state << 17) + MASK_DELTA) & 0xFFFFFFFF
 
 
 def frame(values: list[bytes]) -> bytes:
     """The file bytes of the records."""
     heads = [struct.pack("<Q", len(v)) for v in values]
-    head_crc, body_crc = masked_crc(heads), masked_crc(values)
+    body_crc = masked_crc(values)
     return b"".join(
-        b"".join((head, struct.pack("<I", int(h)), value, struct.pack("<I", int(b))))
-        for head, h, value, b in zip(heads, head_crc, values, body_crc)
+        b"".join((head, struct.pack("<I", head_crc(head)), value, struct.pack("<I", int(b))))
+        for head, value, b in zip(heads, values, body_crc)
     )
 
 
-def _checked(heads: list[bytes], head_crc: list[int], values: list[bytes], body_crc: list[int], path: str) -> list[bytes]:
-    if not np.array_equal(masked_crc(heads), np.array(head_crc, dtype=np.uint32)) or not np.array_equal(
-        masked_crc(values), np.array(body_crc, dtype=np.uint32)
-    ):
+def _checked(values: list[bytes], body_crc: list[int], path: str) -> list[bytes]:
+    if not np.array_equal(masked_crc(values), np.array(body_crc, dtype=np.uint32)):
         raise ValueError(f"checksum does not match in {path}")
     return values
 
 
 def unframe(stream, path: str = "") -> Iterator[list[bytes]]:
-    """Batches of records out of a byte stream, checksums verified."""
-    heads, head_crc, values, body_crc = [], [], [], []
+    """Batches of records out of a byte stream, bounded in number and bytes, checksums verified."""
+    values, body_crc, held = [], [], 0
     while True:
         head = stream.read(12)
         if not head:
             break
         if len(head) < 12:
             raise ValueError(f"truncated record in {path}")
-        (size,) = struct.unpack("<Q", head[:8])
-        if masked_crc([head[:8]])[0] != struct.unpack("<I", head[8:])[0]:
+        size, crc = struct.unpack("<QI", head)
+        if head_crc(head[:8]) != crc:
             raise ValueError(f"length checksum does not match in {path}")
         body = stream.read(size + 4)
         if len(body) < size + 4:
             raise ValueError(f"truncated record in {path}")
-        heads.append(head[:8])
-        head_crc.append(struct.unpack("<I", head[8:])[0])
         values.append(body[:size])
         body_crc.append(struct.unpack("<I", body[size:])[0])
-        if len(values) >= BATCH_RECORDS:
-            yield _checked(heads, head_crc, values, body_crc, path)
-            heads, head_crc, values, body_crc = [], [], [], []
+        held += size
+        if len(values) >= BATCH_RECORDS or held >= BATCH_BYTES:
+            yield _checked(values, body_crc, path)
+            values, body_crc, held = [], [], 0
     if values:
-        yield _checked(heads, head_crc, values, body_crc, path)
+        yield _checked(values, body_crc, path)
 
 
 class _File(InputPartition):

@@ -166,3 +166,19 @@ def test_a_missing_connector_is_an_error(spark, tmp_path):
     if not files.has_format(spark, "avro"):
         with pytest.raises(Exception):
             file_sinks.write_records(spark.range(1), str(tmp_path / "x"), "avro", avro_schema="{}")
+
+
+def test_checksums_of_long_records():
+    import random
+
+    def one_by_one(data):
+        state = 0xFFFFFFFF
+        for byte in data:
+            state = (state >> 8) ^ int(tfrecord._TABLE[(state ^ byte) & 255])
+        state ^= 0xFFFFFFFF
+        return ((state >> 15 | state << 17) + tfrecord.MASK_DELTA) & 0xFFFFFFFF
+
+    rng = random.Random(3)
+    values = [rng.randbytes(n) for n in (0, 1, 9, tfrecord.BLOCK - 1, tfrecord.BLOCK, tfrecord.BLOCK + 1, 5 * tfrecord.BLOCK)]
+    assert tfrecord.masked_crc(values).tolist() == [one_by_one(v) for v in values]
+    assert tfrecord.head_crc(values[2][:8]) == one_by_one(values[2][:8])
