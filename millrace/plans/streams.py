@@ -122,7 +122,9 @@ def _(t):
 @query("stream_load_job", "SELECT ride_id, ride_status, meter_reading, passenger_count FROM rides", uses=("rides",))
 def _(t):
     rides = _stream(t, closing=False).view("rides").select("ride_id", "ride_status", "meter_reading", "passenger_count")
-    path = _collect(t, lambda out, checkpoint: J.load_job(rides, out, checkpoint, shards=5))
+    path = scratch_path(t.spark, "stream-out")
+    # A load of five files every second, one micro-batch each.
+    J.run_triggered(J.load_job(rides, path, J.new_checkpoint(t.spark), shards=5, every="1 second"))
     return t.spark.read.parquet(path).drop("load")
 
 

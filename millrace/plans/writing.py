@@ -23,10 +23,10 @@ def _persons(t):
     return E.parse_delimited(t.view("person_lines"), "value", PERSON_FIELDS)
 
 
-@query("sink_text", "SELECT 'This element number is ' || o_orderkey AS value FROM orders")
+@query("sink_text", "SELECT 'item no. ' || o_orderkey AS value FROM orders")
 def _(t):
     path = scratch_path(t.spark, "sink-text")
-    lines = t("orders").select(F.concat(F.lit("This element number is "), "o_orderkey").alias("value"))
+    lines = t("orders").select(F.concat(F.lit("item no. "), "o_orderkey").alias("value"))
     files.write_text(lines, path)
     return file_sources.read_text(t.spark, path)
 

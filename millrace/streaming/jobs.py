@@ -37,6 +37,16 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def run_triggered(writer: DataStreamWriter) -> StreamingQuery:
+    """Runs a writer at its own trigger until all that is there now has been processed."""
+    query = writer.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def stop_when_idle(query: StreamingQuery, idle_seconds: float = 3600, poll_seconds: float = 10) -> None:
     """Stop policy: ends the query once nothing new has come for ``idle_seconds``."""
     last_rows = time.monotonic()
