@@ -17,7 +17,7 @@ from millrace.streaming import processors as P
 
 
 GROUPS, FILES = 3, 2
-AHEAD = F.expr("INTERVAL 10 YEARS")
+AHEAD = "INTERVAL 10 YEARS"
 
 
 def _grouped_events(t):
@@ -35,7 +35,7 @@ def _grouped_events(t):
         group = group if high is None else group.where(seconds <= high)
         group.repartition(FILES).write.parquet(f"{root}/group-{k}")
     last = events.where("event_type = 'purchase'").orderBy(F.col("ts").desc(), "event_id").limit(1)
-    last.withColumn("ts", (F.col("ts") + AHEAD).cast(events.schema["ts"].dataType)).write.parquet(f"{root}/last")
+    last.withColumn("ts", (F.col("ts") + F.expr(AHEAD)).cast(events.schema["ts"].dataType)).write.parquet(f"{root}/last")
     return root
 
 
