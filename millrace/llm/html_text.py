@@ -42,46 +42,56 @@ TOKEN = re.compile(
 )
 
 WINDOW, SURGE = 3, 80
+#: A character in a marked article counts as so many outside when one is chosen against the other.
+MARK = 2
 
 
-def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is set aside, and whether it is an article's own."""
-    aside, article = tag in ASIDE or (tag == "header" and not inside), tag in ARTICLE
+class Node:
+    """An element: what it says of itself, and what the page's text makes of it."""
+
+    __slots__ = ("above", "tag", "aside", "named", "article", "main")
+
+    def __init__(self, above: int, tag: str, aside: bool = False, named: str = "", article: bool = False, main: bool = False) -> None:
+        self.above, self.tag, self.aside, self.named, self.article, self.main = above, tag, aside, named, article, main
+
+
+def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, str, bool, bool]:
+    """Whether an element is set aside, the class or id that would do so, whether it is an article, and the main one."""
+    aside, named, article, main = tag in ASIDE or (tag == "header" and not inside), "", tag in ARTICLE, tag == "main"
     if attributes and not attributes.isspace():
         for name, *values in ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
             if name in ("class", "id"):
-                aside |= bool(SIDE.search(value)) and tag not in ("body", "html")
+                if tag not in ("body", "html"):
+                    named += "".join(found[0] for found in SIDE.finditer(value))
             elif name == "role":
                 aside |= value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert")
                 article |= value.lower() in ("main", "article")
+                main |= value.lower() == "main"
             elif name == "itemprop":
                 article |= value == "articleBody"
             elif name == "style":
                 aside |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             else:
                 aside |= value.lower() != "false"
-    return aside, article and not aside
+    return aside, named, article, main
 
 
-def lines(page: str) -> list[tuple[str, bool, bool]]:
-    """The page's lines: text, whether it is set aside, whether it stands in an article.
+def parsed(page: str) -> tuple[list[tuple[str, int]], list[Node]]:
+    """The page's lines with the element each stands in, and all elements, outer before inner; the first is the page.
 
-    Blocks and line breaks end a line. Where an outer element begins or ends, empty lines as wide as the window
-    separate what stands before and behind.
+    Blocks and line breaks end a line.
     """
-    out: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    aside = article = False
+    nodes = [Node(-1, "")]
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
 
-    def end(apart: bool = False) -> None:
+    def end() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((text, aside, article))
-        if apart:
-            out.extend([("", True, False)] * WINDOW)
+            out.append((text, stack[-1][1]))
 
     here = 0
     for token in TOKEN.finditer(page):
@@ -98,69 +108,83 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
         if token[2]:
             if tag in INLINE:
                 # Only inline elements that are set aside are on the stack.
-                if stack and stack[-1][0] == tag:
+                if stack[-1][0] == tag:
                     end()
                     stack.pop()
-                    aside, article = stack[-1][1:] if stack else (False, False)
                 continue
-            opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            outer = opened is not None and (stack[opened][1], stack[opened][2]) != (
-                stack[opened - 1][1:] if opened else (False, False)
-            )
-            end(outer)
+            opened = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), None)
+            end()
             if opened is not None:
                 del stack[opened:]
-                aside, article = stack[-1][1:] if stack else (False, False)
             continue
-        own_aside, own_article = _kind(tag, token[4], article)
+        aside, named, article, main = _kind(tag, token[4], stack[-1][2])
         if tag in INLINE:
-            if own_aside and tag not in VOID and not token[4].endswith("/"):
+            if (aside or named) and tag not in VOID and not token[4].endswith("/"):
                 end()
-                stack.append((tag, True, article))
-                aside = True
+                nodes.append(Node(stack[-1][1], tag, aside, named))
+                stack.append((tag, len(nodes) - 1, stack[-1][2]))
             continue
-        now = stack[-1] if stack else ("", False, False)
-        while stack and (stack[-1][0] in ("p", *INLINE) or stack[-1][0] == tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
+        end()
+        while stack[-1][0] in ("p", *INLINE) and len(stack) > 1 or stack[-1][0] == tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             stack.pop()
-        below = stack[-1][1:] if stack else (False, False)
-        new = (below[0] or own_aside, below[1] or own_article)
-        end(new != now[1:] or new != below)
-        aside, article = new
         if tag not in VOID and not (token[4].endswith("/") and tag not in ("p", "div")):
-            stack.append((tag, *new))
-        else:
-            aside, article = below
+            nodes.append(Node(stack[-1][1], tag, aside, named, article, main))
+            stack.append((tag, len(nodes) - 1, stack[-1][2] or (article and not aside)))
     if here < len(page):
         parts.append(page[here:])
     end()
-    return out
+    return out, nodes
+
+
+def states(found: list[tuple[str, int]], nodes: list[Node]) -> tuple[list[bool], list[bool]]:
+    """For each element whether it is set aside, and whether it stands in an article."""
+    aside, article = [n.aside or bool(n.named) for n in nodes], [False] * len(nodes)
+    for i in range(1, len(nodes)):
+        aside[i] |= aside[nodes[i].above]
+        article[i] = article[nodes[i].above] or (nodes[i].article and not aside[i])
+    return aside, article
 
 
-def main_lines(found: list[tuple[str, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def main_lines(found: list[tuple[str, int]], nodes: list[Node], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between surge and dive of the window sums.
 
-    Lines set aside weigh nothing; where the page marks an article, neither do those outside it. A run begins at the
-    first window that holds text and ends where the windows fall to nothing. With a marked article all runs are its
-    parts; else the run with the most text among those whose sums surge (all, if none does) is the main text.
+    Lines set aside weigh nothing. They, and an article's begin and end, part what stands before and behind by empty
+    lines as wide as the window. A run begins at the first window that holds text and ends where the windows fall to
+    nothing; it surges if a window reaches ``surge``. If no surging run outside weighs more than ``MARK`` times the
+    marked articles, these are the main text, all their runs; else it is the heaviest of the runs that surge (all, if
+    none does).
     """
-    marked = any(article and not aside for _, aside, article in found)
-    weights = np.array([0 if aside or (marked and not article) else len(text) for text, aside, article in found], np.int64)
-    if not weights.any():
+    aside, article = states(found, nodes)
+    kept = [i for i, (_, node) in enumerate(found) if not aside[node]]
+    if not kept:
         return []
-    if marked:
-        return [text for (text, _, _), weight in zip(found, weights) if weight]
-    padded = np.concatenate((weights, np.zeros(window - 1, np.int64)))
-    sums = np.convolve(padded, np.ones(window, np.int64))[window - 1 : window - 1 + len(weights)]
-    alive = np.flatnonzero(np.diff(np.concatenate(([False], sums > 0, [False])).astype(np.int8)))
-    runs = list(zip(alive[::2], alive[1::2]))
-    strong = [r for r in runs if sums[r[0] : r[1]].max() >= surge] or runs
-    begin, behind = max(strong, key=lambda r: weights[r[0] : r[1]].sum())
-    return [text for (text, _, _), weight in zip(found[begin:behind], weights[begin:behind]) if weight]
+    of = [found[i][1] for i in kept]
+    marked = np.array([article[node] for node in of])
+    change = np.concatenate(([False], marked[1:] != marked[:-1]))
+    place = np.arange(len(kept)) + window * np.cumsum((np.diff(kept, prepend=kept[0] - 1) > 1) | change)
+    weights = np.zeros(place[-1] + window, np.int64)
+    weights[place] = [len(found[i][0]) for i in kept]
+    sums = np.convolve(weights, np.ones(window, np.int64))[window - 1 :]
+    runs: list[tuple[int, int]] = []
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], sums > 0, [False])).astype(np.int8)))
+    for begin, behind in np.searchsorted(place, edges).reshape(-1, 2).tolist():
+        runs.append((begin, behind))
+    size, sums = weights[place], sums[place]
+
+    def weight(run: tuple[int, int]) -> int:
+        return int(size[slice(*run)].sum())
+
+    if marked.any():
+        rivals = [weight(r) for r in runs if not marked[r[0]] and sums[slice(*r)].max() >= surge]
+        if max(rivals, default=0) <= MARK * size[marked].sum():
+            return [found[i][0] for i, own in zip(kept, marked) if own]
+    strong = [r for r in runs if sums[slice(*r)].max() >= surge] or runs
+    return [found[i][0] for i in kept[slice(*max(strong, key=weight))]]
 
 
 def extract(page: str) -> str:
     """The main text: its blocks in page order, two line feeds between them."""
-    return "\n\n".join(main_lines(lines(page)))
+    return "\n\n".join(main_lines(*parsed(page)))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

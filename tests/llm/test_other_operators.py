@@ -136,6 +136,14 @@ def test_pages():
     assert html_text.extract("<div" * 20_000) == "" and html_text.extract("<p title='" * 3000).count("\n") == 0
 
 
+def test_pages_go_by_their_sums_also_when_an_article_is_marked():
+    long = "Words of a long text. " * 30
+    page = f"<body><div class=text><p>{long}</div><article><p>Teaser: read on</article></body>"
+    assert html_text.extract(page) == long.strip()
+    assert html_text.extract(f"<body><p>Tagline</p><article><p>{long}</article></body>") == long.strip()
+    assert html_text.extract(f"<article><h1>T</h1><div class=ad>x</div><p>{long}</article><article>b</article>") == f"T\n\n{long.strip()}\n\nb"
+
+
 def test_pages_as_rows(spark):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" + "é" * 200_000)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(5))
