@@ -145,14 +145,25 @@ def states(found: list[tuple[str, int]], nodes: list[Node]) -> tuple[list[bool],
     return aside, article
 
 
+def _beside(nodes: list[Node], article: list[bool], one: int, two: int) -> bool:
+    """Whether what stands between two lines stands inside a text: in an article, or among the blocks of one element."""
+    a, b, below = one, two, {one: one, two: two}
+    while a != b:
+        if a > b:
+            below[one], a = a, nodes[a].above
+        else:
+            below[two], b = b, nodes[b].above
+    return article[a] or all(line == near or nodes[near].article for line, near in below.items())
+
+
 def main_lines(found: list[tuple[str, int]], nodes: list[Node], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between surge and dive of the window sums.
 
     Lines set aside weigh nothing. They, and an article's begin and end, part what stands before and behind by empty
     lines as wide as the window. A run begins at the first window that holds text and ends where the windows fall to
-    nothing; it surges if a window reaches ``surge``. If no surging run outside weighs more than ``MARK`` times the
-    marked articles, these are the main text, all their runs; else it is the heaviest of the runs that surge (all, if
-    none does).
+    nothing; it surges if a window reaches ``surge``. What is set aside inside a text, though, is no dive: the runs
+    around it are one. If no surging run outside weighs more than ``MARK`` times the marked articles, these are the
+    main text, all their runs; else it is all runs that surge, or, if none does, the heaviest one.
     """
     aside, article = states(found, nodes)
     kept = [i for i, (_, node) in enumerate(found) if not aside[node]]
@@ -168,6 +179,8 @@ def main_lines(found: list[tuple[str, int]], nodes: list[Node], window: int = WI
     runs: list[tuple[int, int]] = []
     edges = np.flatnonzero(np.diff(np.concatenate(([False], sums > 0, [False])).astype(np.int8)))
     for begin, behind in np.searchsorted(place, edges).reshape(-1, 2).tolist():
+        if runs and not change[begin] and _beside(nodes, article, of[begin - 1], of[begin]):
+            begin = runs.pop()[0]
         runs.append((begin, behind))
     size, sums = weights[place], sums[place]
 
@@ -178,8 +191,14 @@ def main_lines(found: list[tuple[str, int]], nodes: list[Node], window: int = WI
         rivals = [weight(r) for r in runs if not marked[r[0]] and sums[slice(*r)].max() >= surge]
         if max(rivals, default=0) <= MARK * size[marked].sum():
             return [found[i][0] for i, own in zip(kept, marked) if own]
-    strong = [r for r in runs if sums[slice(*r)].max() >= surge] or runs
-    return [found[i][0] for i in kept[slice(*max(strong, key=weight))]]
+        joined = runs[:1]
+        for begin, behind in runs[1:]:
+            if change[begin] and _beside(nodes, article, of[begin - 1], of[begin]):
+                begin = joined.pop()[0]
+            joined.append((begin, behind))
+        runs = joined
+    strong = [r for r in runs if sums[slice(*r)].max() >= surge] or [max(runs, key=weight)]
+    return [found[i][0] for begin, behind in strong for i in kept[begin:behind]]
 
 
 def extract(page: str) -> str:

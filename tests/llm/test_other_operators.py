@@ -144,6 +144,19 @@ def test_pages_go_by_their_sums_also_when_an_article_is_marked():
     assert html_text.extract(f"<article><h1>T</h1><div class=ad>x</div><p>{long}</article><article>b</article>") == f"T\n\n{long.strip()}\n\nb"
 
 
+def test_pages_go_on_behind_what_is_set_aside():
+    one, two = ("Words of a long text. " * 40).strip(), ("More of the text here. " * 35).strip()
+    for between in ("<div class=ad>x</div>", "<aside>See also</aside><form>Mail</form>", "<div class=notice>n</div><p>Short.</p><nav>m</nav>"):
+        short = "Short.\n\n" if "Short." in between else ""
+        for whole in ("<div class=post><p>%s</p>%s<p>%s</p></div>", "<body><p>%s</p>%s<p>%s</p></body>", "<article><p>%s</p>%s<p>%s</p></article>"):
+            assert html_text.extract(whole % (one, between, two)) == f"{one}\n\n{short}{two}"
+    page = f"<div class=post><section><p>{one}</section><div class=ad>x</div><section><p>{two}</section></div>"
+    assert html_text.extract(page) == f"{one}\n\n{two}"
+    assert html_text.extract(f"<div class=post><p>{one}</p><article><p>Quoted</article><p>{two}</div>") == f"{one}\n\nQuoted\n\n{two}"
+    page = f"<body><div class=top><p>Tagline</div><nav>Menu</nav><div class=post><p>{one}</div></body>"
+    assert html_text.extract(page) == one
+
+
 def test_pages_as_rows(spark):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" + "é" * 200_000)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(5))
