@@ -41,6 +41,13 @@ TOKEN = re.compile(
     re.I | re.S | re.X,
 )
 
+#: What a class or id says of the page's state rather than of the element: ``has-sidebar``, ``main-nav-open``.
+STATE = re.compile(r"(?:^|[\s_-])(?:has|have|no|not|with|without)[_-]\S*|(?<!\S)\S*[_-](?:open|opened|closed|enabled|disabled)(?!\S)", re.I)
+#: Side words that may stand for text of readers or of other pages, and so hold articles of their own.
+OTHERS = re.compile(r"comments?|disqus|repl(?:y|ies)|respond|related|recommend|teasers?", re.I)
+#: Side words that also name wrappers around the whole page.
+LAYOUT = re.compile(r"side|nav|menu|header|footer|masthead|banner|toolbar|widget|search|form", re.I)
+
 WINDOW, SURGE = 3, 80
 #: A character in a marked article counts as so many outside when one is chosen against the other.
 MARK = 2
@@ -62,8 +69,8 @@ def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, str, bool, boo
         for name, *values in ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
             if name in ("class", "id"):
-                if tag not in ("body", "html"):
-                    named += "".join(found[0] for found in SIDE.finditer(value))
+                if tag not in ("body", "html") and SIDE.search(value) and SIDE.search(own := STATE.sub(" ", value)):
+                    named += " " + " ".join(found[0] for found in SIDE.finditer(own))
             elif name == "role":
                 aside |= value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert")
                 article |= value.lower() in ("main", "article")
@@ -137,8 +144,37 @@ def parsed(page: str) -> tuple[list[tuple[str, int]], list[Node]]:
 
 
 def states(found: list[tuple[str, int]], nodes: list[Node]) -> tuple[list[bool], list[bool]]:
-    """For each element whether it is set aside, and whether it stands in an article."""
-    aside, article = [n.aside or bool(n.named) for n in nodes], [False] * len(nodes)
+    """For each element whether it is set aside, and whether it stands in an article.
+
+    A class or id sets no element aside that holds the main element, an article of at least half the weight of all text
+    not set aside, or, if its word also names layout, the page's bulk with a line long enough for a surge.
+    """
+    own, longest = [0] * len(nodes), [0] * len(nodes)
+    for text, node in found:
+        own[node] += len(text)
+        longest[node] = max(longest[node], len(text))
+    aside = [n.aside or bool(n.named) for n in nodes]
+    if any(n.named for n in nodes):
+        below = aside.copy()
+        for i in range(1, len(nodes)):
+            below[i] |= below[nodes[i].above]
+        outside = sum(size for size, off in zip(own, below) if not off)
+        marked, main = [0] * len(nodes), [False] * len(nodes)
+        for i in range(len(nodes) - 1, 0, -1):
+            n = nodes[i]
+            if n.article and not n.aside and not OTHERS.search(n.named):
+                marked[i] = own[i]
+                main[i] |= n.main
+            if n.named and not n.aside:
+                whole = bool(LAYOUT.search(n.named)) and own[i] >= 4 * outside and longest[i] >= SURGE
+                held = marked[i] > 0 and MARK * marked[i] >= outside
+                aside[i] = not (main[i] or not OTHERS.search(n.named) and (held or whole))
+            if not aside[i]:
+                own[n.above] += own[i]
+                marked[n.above] += marked[i]
+                longest[n.above] = max(longest[n.above], longest[i])
+                main[n.above] |= main[i]
+    article = [False] * len(nodes)
     for i in range(1, len(nodes)):
         aside[i] |= aside[nodes[i].above]
         article[i] = article[nodes[i].above] or (nodes[i].article and not aside[i])

@@ -157,6 +157,18 @@ def test_pages_go_on_behind_what_is_set_aside():
     assert html_text.extract(page) == one
 
 
+def test_wrappers_named_after_a_side_are_not_set_aside():
+    long = ("Words of a long text. " * 30).strip()
+    side = "<div class=sidebar><p>Side text</div><div class='nav-menu'>Menu</div>"
+    for name in ("layout has-sidebar", "no-sidebar", "content-sidebar-wrap", "with-sidebar", "main-nav-open", "page header-layout"):
+        for body in (f"<article><p>{long}</article>", f"<main><p>{long}</main>", f"<div class=text><p>{long}</div>"):
+            assert html_text.extract(f"<body><div class='{name}'>{body}{side}</div><footer>By us</footer></body>") == long, name
+    assert html_text.extract("<body><div class='with-sidebar'><article>short</article></div></body>") == "short"
+    others = f"<section class=comments><article><p>{long}</article></section><div class=related><article>r</article></div>"
+    assert html_text.extract(f"<body><article><p>Short post</article>{others}</body>") == "Short post"
+    assert html_text.extract(f"<body><div class=post><p>{long}</div><div class=sidebar><p>{long}</div></body>") == long
+
+
 def test_pages_as_rows(spark):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" + "é" * 200_000)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(5))
