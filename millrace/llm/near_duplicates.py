@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -94,8 +94,8 @@ def set_id(shingles: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, ``class`` (equal sets share it) and the band hashes."""
+def features(docs: DataFrame, facts: Sequence[str] = ()) -> DataFrame:
+    """One row per document: doc_id, n_shingles, ``class`` (equal sets share it), the band hashes, and whole numbers ``facts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,10 +107,12 @@ def features(docs: DataFrame) -> DataFrame:
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([bands(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "bands"])
+                columns += [part.column(f) for f in facts]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "bands", *facts])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, class long, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *facts)
+    kinds = "doc_id long, n_shingles long, class long, bands array<long>"
+    return rows.mapInArrow(run, ", ".join([kinds, *(f"{f} long" for f in facts)]))
 
 
 def links(sets: list[np.ndarray], share: int = 75) -> np.ndarray:
@@ -252,6 +254,30 @@ def near_duplicates(docs: DataFrame, share: int = 75, block: int = BLOCK) -> Dat
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; all columns as they were."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_doc"]), "left_semi")
+    """One row of each component, that with the smallest doc_id; all columns as they were.
+
+    Rows that share a doc_id are told apart by their texts: of several in a component the one with the smallest class,
+    then text hash stays; of rows equal in doc_id and text one. A null doc_id comes last. Texts without words all stay.
+    Columns of rows that repeat doc_id and text must not be maps.
+    """
+    facts = {"_h1": F.xxhash64(F.coalesce("text", F.lit(""))), "_h2": F.hash(F.coalesce("text", F.lit(""))).cast("long")}
+    told = docs.withColumns(facts)
+    found = written(features(told, list(facts)), "features")
+    labels = linked_classes(docs, found)
+    counted = found.groupBy("class", "doc_id", *facts).agg(F.count("*").alias("_n"))
+    leader = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "class", *facts, "_n")
+    classes = counted.filter("class is not null").groupBy("class").agg(F.min(leader).alias("_least"))
+    named = classes.join(labels, classes["class"] == labels["node"], "left").select(F.coalesce("label", "class").alias("label"), "_least")
+    leaders = named.groupBy("label").agg(F.min("_least").alias("_least")).select("_least.*")
+    columns = [F.col("doc_id").alias("_doc"), *[F.col(f).alias(f"_k{f}") for f in facts]]
+    wordless = counted.filter("class is null").select(*columns, F.lit(1).cast("long").alias("_n"))
+    kept = written(leaders.select(*columns, "_n").unionByName(wordless), "kept")
+    one, rows = kept.filter("_n = 1"), told.withColumn("_doc_id", F.col("doc_id").cast("long"))
+    pairs = [("_doc_id", "_doc"), *((f, f"_k{f}") for f in facts)]
+    left = rows.join(one, null_safe(rows, one, pairs), "left_semi").select(*docs.columns)
+    many = kept.filter("_n > 1")
+    if many.isEmpty():
+        return left
+    copies = rows.join(many, null_safe(rows, many, pairs), "left_semi")
+    whole = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")
+    return left.unionByName(copies.groupBy("_doc_id", *facts).agg(whole).select("_row.*"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import raw
-from millrace.llm.common import unfolded, written
+from millrace.llm.common import numbered, unfolded, written
 from millrace.llm.suffixes import LENGTH, anchors, repeated
 from millrace.session import scratch_path
 
@@ -47,8 +47,12 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """One row per distinct text of 100 bytes or more: its first document; ``twin`` counts texts of one doc_id."""
-    first = rows.filter(F.col("n_bytes") >= LENGTH).groupBy(*FACTS).agg(F.min("dkey").alias("dkey"))
+    """One row per distinct text of 100 bytes or more: its first document, and how many rows (``copies``) are equal to that.
+
+    ``twin`` counts texts of one doc_id.
+    """
+    counted = rows.filter(F.col("n_bytes") >= LENGTH).groupBy("dkey", *FACTS).agg(F.count("*").alias("copies"))
+    first = counted.groupBy(*FACTS).agg(F.min(F.struct("dkey", "copies")).alias("_least")).select(*FACTS, "_least.*")
     twin = F.row_number().over(Window.partitionBy("dkey").orderBy(*FACTS)) - 1
     return written(first.withColumn("twin", twin), "texts-seen")
 
@@ -335,7 +339,7 @@ def removed_bytes(docs: DataFrame, crowd: int = CROWD, often: int = OFTEN) -> Da
     result = _removed(rows, classes, False, crowd, often).groupBy("dkey", "twin").agg(
         *(F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256"))
     )
-    known = classes.join(result, ["dkey", "twin"]).withColumnRenamed("dkey", "first").drop("twin")
+    known = classes.join(result, ["dkey", "twin"]).withColumnRenamed("dkey", "first").drop("twin", "copies")
     short = F.when(F.col("n_bytes") < LENGTH, F.sha2(F.col("text").cast("binary"), 256)).alias("short_sha256")
     counted = rows.select("doc_id", "dkey", *FACTS, short).groupBy("doc_id", "dkey", *FACTS, "short_sha256").agg(
         F.count("*").alias("_n")
@@ -359,7 +363,7 @@ def remove_repeats(docs: DataFrame, crowd: int = CROWD, often: int = OFTEN) -> D
     """The documents without the bytes :func:`removed_bytes` counts; ``text`` and ``n_chars`` (if there) change.
 
     Every row stays, one whose text an earlier document has with an empty text. What is left of a character cut in
-    two goes too. Rows that repeat doc_id and text all keep what the first keeps; null texts stay null.
+    two goes too. Of rows that repeat doc_id and text (100 bytes or more) one keeps its text; null texts stay null.
     """
     rows = _rows(docs)
     classes = _classes(rows)
@@ -372,12 +376,18 @@ def remove_repeats(docs: DataFrame, crowd: int = CROWD, often: int = OFTEN) -> D
         "_dkey": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
         "_h1": F.xxhash64(text),
         "_h2": F.hash(text),
-        "_n": F.octet_length(text).cast("long"),
+        "_bytes": F.octet_length(text).cast("long"),
     }
-    known = docs.withColumns(facts).withColumn("text", F.when(F.col("_n") < LENGTH, F.col("text")))
+    known = docs.withColumns(facts).withColumn("text", F.when(F.col("_bytes") < LENGTH, F.col("text")))
+    copy = F.lit(0).cast("long")
+    if not classes.filter("copies > 1").isEmpty():
+        # Which of equal rows keeps its text is told by their numbers.
+        long = numbered(known.filter(F.col("_bytes") >= LENGTH), list(facts), "_copy")
+        known = known.filter(F.col("_bytes") < LENGTH).withColumn("_copy", copy).unionByName(long)
+        copy = F.col("_copy")
     match = [known[a] == firsts[b] for a, b in zip(facts, ("_f_dkey", "_f_h1", "_f_h2", "_f_n_bytes"))]
     both = known.join(firsts, match, "left")
-    new = F.when(F.col("_n") < LENGTH, F.col("text")).otherwise(F.coalesce("_left", F.lit("")))
+    new = F.when(F.col("_bytes") < LENGTH, F.col("text")).otherwise(F.coalesce(F.when(copy == 0, F.col("_left")), F.lit("")))
     changed = both.withColumn("text", new)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))

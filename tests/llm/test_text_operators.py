@@ -96,6 +96,17 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert near_duplicates.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = "a b c d e f", "q r s t u v", "l m n o p q"
+    rows = [(5, a), (3, a), (5, b), (5, b), (5, b.upper()), (7, b), (None, a), (None, c), (None, c), (None, None), (None, ""), (2, " "), (2, " ")]
+    left = near_duplicates.drop_near_duplicates(docs_of(spark, rows))
+    got = [(r.doc_id, (r.text or "").lower()) for r in left.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(3, a), (5, b), (None, c), (None, ""), (None, ""), (2, " "), (2, " ")]))
+    assert left.columns == docs_of(spark, rows).columns
+    twice = near_duplicates.drop_near_duplicates(docs_of(spark, [(1, a), (2, c), (1, a), (2, c)])).collect()
+    assert sorted((r.doc_id, r.text) for r in twice) == [(1, a), (2, c)]
+
+
 def test_signatures_agree_as_often_as_sets(spark):
     rng = random.Random(1)
     a = near_duplicates.shingle_sets(pa.array([" ".join(words(rng, 3000, 10**6))], pa.large_string()))[0]
@@ -143,3 +154,12 @@ def test_repeats_of_repeated_and_null_ids(spark):
     equal = repeats.removed_bytes(docs_of(spark, [(5, text)] * 3)).collect()
     assert sorted(r.n_removed > 0 for r in equal) == [False, True, True]
     assert repeats.removed_bytes(docs_of(spark, [])).count() == 0
+
+
+def test_one_of_equal_rows_keeps_its_text(spark):
+    rng = random.Random(6)
+    a, b, c = (" ".join(words(rng, 50)) for _ in range(3))
+    rows = [(5, a)] * 3 + [(None, b)] * 2 + [(None, c), (7, c), (4, "short"), (4, "short"), (1, None)]
+    got = [(r.doc_id, r.text, r.n_chars) for r in repeats.remove_repeats(docs_of(spark, rows)).collect()]
+    wanted = [(5, a), (5, ""), (5, ""), (None, b), (None, ""), (None, c), (7, ""), (4, "short"), (4, "short"), (1, None)]
+    assert sorted(map(str, got)) == sorted(str((i, t, len(t or ""))) for i, t in wanted)
