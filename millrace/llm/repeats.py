@@ -10,7 +10,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import raw
@@ -49,26 +49,29 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     """One row per distinct text of 100 bytes or more: its first document, and how many rows (``copies``) are equal to that.
 
-    ``twin`` counts texts of one doc_id.
+    ``twin``, the first hash of the text, tells texts of one doc_id apart and orders them.
     """
     counted = rows.filter(F.col("n_bytes") >= LENGTH).groupBy("dkey", *FACTS).agg(F.count("*").alias("copies"))
     first = counted.groupBy(*FACTS).agg(F.min(F.struct("dkey", "copies")).alias("_least")).select(*FACTS, "_least.*")
-    twin = F.row_number().over(Window.partitionBy("dkey").orderBy(*FACTS)) - 1
-    return written(first.withColumn("twin", twin), "texts-seen")
+    return written(first.withColumn("twin", F.col("h1")), "texts-seen")
 
 
 def _texts(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The first document of each distinct text, in a table bucketed by ``dkey``: it is shuffled this once only."""
+    """The first document of each distinct text, in a table bucketed by ``dkey`` and ``twin``: it is shuffled this once only."""
     spark = rows.sparkSession
-    total = classes.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    total, copies = classes.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.max("copies")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TEXT_BYTES))
-    left = rows.select("dkey", "h1", "h2", "text").repartition(parts, "dkey")
-    right = classes.select("dkey", "twin", F.col("h1").alias("c1"), F.col("h2").alias("c2")).repartition(parts, "dkey")
-    # The hashes are compared after the join, so that rows lie by dkey alone.
-    same = F.col("h1").between(F.col("c1"), F.col("c1")) & F.col("h2").between(F.col("c2"), F.col("c2"))
-    firsts = left.join(right.hint("shuffle_hash"), "dkey").filter(same).select("dkey", "twin", "text")
+    long = rows.filter(F.col("n_bytes") >= LENGTH).select("dkey", "h1", "h2", "text")
+    if copies and copies > 1:
+        long = long.dropDuplicates(["dkey", "h1", "h2"])
+    keys = ["dkey", "twin"]
+    left = long.select("dkey", F.col("h1").alias("twin"), "h2", "text").repartition(parts, *keys)
+    right = classes.select(*keys, F.col("h2").alias("c2")).repartition(parts, *keys)
+    # The second hash is compared after the join, so that rows lie by dkey and twin alone.
+    same = F.col("h2").between(F.col("c2"), F.col("c2"))
+    firsts = left.join(right.hint("shuffle_hash"), keys).filter(same).select("dkey", "twin", "text")
     name = f"millrace_texts_{uuid.uuid4().hex}"
-    writer = firsts.write.format("parquet").bucketBy(parts, "dkey").option("compression", "zstd")
+    writer = firsts.write.format("parquet").bucketBy(parts, "dkey", "twin").option("compression", "zstd")
     writer.option("path", scratch_path(spark, "texts")).saveAsTable(name)
     return spark.table(name)
 
@@ -102,8 +105,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], common: int) -> Iterator[pa.
         often = np.empty(len(gram), bool)
         often[by_gram] = np.repeat(sizes > common, sizes)
         dkey = batch.column("dkey").to_numpy()[text]
-        key = np.where(often & (nth > 1), dkey * 0x2545F491 + at, gram)
-        columns = [key, gram, dkey, batch.column("twin").to_numpy()[text], (at << 16) | (low << 8) | high, often]
+        twin = batch.column("twin").to_numpy()[text]
+        key = np.where(often & (nth > 1), (dkey ^ twin) * 0x2545F491 + at, gram)
+        columns = [key, gram, dkey, twin, (at << 16) | (low << 8) | high, often]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "gram", "dkey", "twin", "place", "often"])
 
 
@@ -133,7 +137,7 @@ def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held.select(names)
 
 
-CONTEXT = "key long, low int, high int, context binary, dkey long, twin int, place long"
+CONTEXT = "key long, low int, high int, context binary, dkey long, twin long, place long"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,8 +161,6 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(c).to_pylist() for c in ("dkey", "twin", "marks")]
         for dkey, twin, marks, text in zip(*columns, raw(batch.column("text"))):
             for mark in marks:
-                if mark["twin"] != twin:
-                    continue
                 at, low, high = mark["place"] >> 16, (mark["place"] >> 8) & 255, mark["place"] & 255
                 if not mark["crowded"]:
                     put((mark["gram"], low, high, text[at - high : at - low + LENGTH]), (dkey, twin, at))
@@ -172,12 +174,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(spans)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([k[0] for k in keys] + [(s[0] * 31 + s[2]) & (2**62 - 1) for s in spans], pa.int64()),
+                pa.array([k[0] for k in keys] + [((s[0] ^ s[1]) * 31 + s[2]) & (2**62 - 1) for s in spans], pa.int64()),
                 pa.array([k[1] for k in keys] + [0] * n, pa.int32()),
                 pa.array([k[2] for k in keys] + [s[3] - s[2] for s in spans], pa.int32()),
                 pa.array([k[3] for k in keys] + [None] * n, pa.binary()),
                 pa.array([p[0] for p in places] + [s[0] for s in spans], pa.int64()),
-                pa.array([p[1] for p in places] + [s[1] for s in spans], pa.int32()),
+                pa.array([p[1] for p in places] + [s[1] for s in spans], pa.int64()),
                 pa.array([p[2] for p in places] + [s[2] for s in spans], pa.int64()),
             ],
             names=["key", "low", "high", "context", "dkey", "twin", "place"],
@@ -237,7 +239,7 @@ def _resolve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         at = who[start]
         out.append((dkey[at], twin[at], place[at] - distance[start], place[at] - distance[last] + LENGTH))
     columns = [np.concatenate(c) for c in zip(*out)]
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["dkey", "twin", "start", "end"])
 
 
@@ -285,29 +287,29 @@ def cut_out(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]
 def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, often: int) -> DataFrame:
     """For each distinct text of 100 bytes or more what its first document loses."""
     texts = _texts(rows, classes)
-    found = texts.mapInArrow(partial(_anchor_rows, common=often), "key long, gram long, dkey long, twin int, place long, often boolean")
+    found = texts.mapInArrow(partial(_anchor_rows, common=often), "key long, gram long, dkey long, twin long, place long, often boolean")
     shared = found.repartition("key").sortWithinPartitions("gram").mapInArrow(
-        _shared_only, "gram long, dkey long, twin int, place long"
+        _shared_only, "gram long, dkey long, twin long, place long"
     )
     shared = written(shared, "anchors")
     # At most one crowded gram for every ``crowd`` anchors.
     crowded = shared.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
     crowded = F.broadcast(crowded.select("gram", F.lit(True).alias("crowded")))
     marked = shared.join(crowded, "gram", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    marks = marked.groupBy("dkey").agg(F.collect_list(F.struct("twin", "place", "gram", "crowded")).alias("marks"))
-    contexts = texts.join(marks.hint("shuffle_hash"), "dkey").select("dkey", "twin", "marks", "text")
+    keys = ["dkey", "twin"]
+    marks = marked.groupBy(*keys).agg(F.collect_list(F.struct("place", "gram", "crowded")).alias("marks"))
+    contexts = texts.join(marks.hint("shuffle_hash"), keys).select("dkey", "twin", "marks", "text")
     contexts = contexts.mapInArrow(_contexts, CONTEXT).repartition("key")
     order = ["key", "low", "high", "context", "dkey", "twin", "place"]
-    spans = contexts.sortWithinPartitions(*order).mapInArrow(_spans, "dkey long, twin int, start long, end long")
-    of = spans.groupBy("dkey").agg(F.collect_set(F.struct("twin", "start", "end")).alias("spans"))
-    whole = texts.join(of.hint("shuffle_hash"), "dkey", "left").select("dkey", "twin", "spans", "text")
+    spans = contexts.sortWithinPartitions(*order).mapInArrow(_spans, "dkey long, twin long, start long, end long")
+    of = spans.groupBy(*keys).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    whole = texts.join(of.hint("shuffle_hash"), keys, "left").select("dkey", "twin", "spans", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [])
-            twins, spans = batch.column("twin").to_pylist(), batch.column("spans").to_pylist()
-            for twin, cuts, text in zip(twins, spans, raw(batch.column("text"))):
-                left, n, runs = cut_out(text, [(c["start"], c["end"]) for c in cuts or () if c["twin"] == twin])
+            for cuts, text in zip(batch.column("spans").to_pylist(), raw(batch.column("text"))):
+                left, n, runs = cut_out(text, [(c["start"], c["end"]) for c in cuts or ()])
                 values = (n, runs, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None)
                 for column, value in zip(columns, values):
                     column.append(value)
@@ -317,7 +319,7 @@ def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, o
                 names=["dkey", "twin", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    kind = "dkey long, twin int, n_removed long, n_spans long, kept_sha256 string, kept string"
+    kind = "dkey long, twin long, n_removed long, n_spans long, kept_sha256 string, kept string"
     return whole.mapInArrow(run, kind)
 
 

@@ -163,3 +163,23 @@ def test_one_of_equal_rows_keeps_its_text(spark):
     got = [(r.doc_id, r.text, r.n_chars) for r in repeats.remove_repeats(docs_of(spark, rows)).collect()]
     wanted = [(5, a), (5, ""), (5, ""), (None, b), (None, ""), (None, c), (7, ""), (4, "short"), (4, "short"), (1, None)]
     assert sorted(map(str, got)) == sorted(str((i, t, len(t or ""))) for i, t in wanted)
+
+
+def test_repeats_of_one_id_are_joined_by_their_texts(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = " ".join(words(rng, 60))
+    texts = [f"{k} {passage} " + " ".join(words(rng, 40)) for k in range(30)]
+    frame = docs_of(spark, [(None, t) for t in texts] + [(None, texts[0])] * 5)
+    order = [r.text for r in frame.distinct().orderBy(F.xxhash64("text")).collect()]
+    wanted = brute.removed(list(enumerate(order)))
+    copy = (len(texts[0]), len(texts[0]), 1, brute.hashlib.sha256(b"").hexdigest())
+    bucketed = []
+    real = repeats._texts
+    monkeypatch.setattr(repeats, "_texts", lambda *a: bucketed.append(real(*a)) or bucketed[-1])
+    got = repeats.removed_bytes(frame).collect()
+    assert sorted(tuple(r)[1:] for r in got) == sorted([*wanted.values(), *[copy] * 5])
+    # No list of marks or spans is joined to more than the one text it belongs to.
+    assert bucketed[0].count() == bucketed[0].select("dkey", "twin").distinct().count() == 30
+    plan = repeats._removed(repeats._rows(frame), repeats._classes(repeats._rows(frame)), False, 50, 9)._jdf.queryExecution().toString()
+    joins = [line for line in plan.splitlines() if "ShuffledHashJoin" in line]
+    assert joins and all("twin" in line for line in joins)
