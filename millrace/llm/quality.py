@@ -130,11 +130,14 @@ def graded(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000, buckets: int = 1 << 18, top: int = 2) -> Ordinal:
     """Fits on ``sample`` rated documents, those with the smallest hash of their id.
 
-    The sample bounds what reaches the driver: word buckets, not texts. The words are counted where the texts lie.
+    The sample bounds what reaches the driver: word buckets, not texts. The words are counted where the texts lie. Of
+    rows that repeat a drawn id the one with the smallest text hash counts.
     """
     # Neither the ids drawn nor their number grow with the table.
     drawn = graded(labels).join(docs.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    every = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # The partial aggregation leaves one row of an id per task before anything moves.
+    rows = every.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -293,6 +293,17 @@ def test_classifier_of_odd_rows(spark):
     assert quality.keep_accepted(docs, labels).columns == docs.columns
 
 
+def test_a_repeated_document_is_fitted_once(spark, monkeypatch):
+    fitted = []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a: fitted.append(len(a[3])) or real(*a))
+    rows = [(1, f"text number {i}") for i in range(50)] + [(2, "good words"), (2, None), (3, "bad words")]
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs_of(spark, rows), labels, sample=2)
+    again = quality.train(docs_of(spark, rows[::-1]), labels, sample=2)
+    assert fitted == [2, 2] and (model.words == again.words).all()
+
+
 def test_tails_fall_and_gradient_is_right():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 50, 600)
