@@ -32,7 +32,8 @@ def _grouped_events(t):
     bounds = [None, *cuts, None]
     for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
         group = events if low is None else events.where(seconds > low)
-        group = group if high is None else group.where(seconds <= high)
+        # An event without a time goes with the first group.
+        group = group if high is None else group.where(F.coalesce(seconds <= high, F.lit(low is None)))
         group.repartition(FILES).write.parquet(f"{root}/group-{k}")
     last = events.where("event_type = 'purchase'").orderBy(F.col("ts").desc(), "event_id").limit(1)
     last.withColumn("ts", (F.col("ts") + F.expr(AHEAD)).cast(events.schema["ts"].dataType)).write.parquet(f"{root}/last")

@@ -134,3 +134,15 @@ def test_stop_when_idle(spark):
     query = J.append_files(stream, out, J.new_checkpoint(spark)).trigger(processingTime="100 milliseconds").start()
     J.stop_when_idle(query, idle_seconds=3, poll_seconds=0.2)
     assert not query.isActive and spark.read.parquet(out).count() == 1
+
+
+def test_groups_of_events_are_a_partition(spark, tmp_path):
+    from millrace.plans.registry import Tables
+    from millrace.plans.streams import _grouped_events
+
+    times = [None, *(f"2024-01-0{d} 00:00:00" for d in range(1, 8)), None]
+    rows = [(i, "purchase", t) for i, t in enumerate(times)]
+    frame = spark.createDataFrame(rows, "event_id long, event_type string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    frame.write.parquet(str(tmp_path / "events.parquet"))
+    groups = spark.read.parquet(_grouped_events(Tables(spark, str(tmp_path))) + "/group-*")
+    assert sorted(r.event_id for r in groups.collect()) == list(range(len(rows)))
