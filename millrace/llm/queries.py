@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import chat, decontamination, html_text, near_duplicates, neighbours, packing, quality, repeats, sharding, warc
+from millrace.llm import (
+    chat,
+    decontamination,
+    fill_middle,
+    html_text,
+    manifest,
+    near_duplicates,
+    neighbours,
+    packing,
+    quality,
+    repeats,
+    sharding,
+    token_counts,
+    warc,
+)
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -52,9 +66,41 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
-_FUNCTIONS = (op1_decontamination, op2_neighbours, op3_packing, op4_warc, op5_quality, op6_chat, op7_sharding, op8_near_duplicates, op9_repeats, op10_html_text)
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
 
-ORACLES = {"op1_decontamination": decontamination.SQL, "op4_warc": warc.SQL, "op6_chat": chat.SQL}
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limited_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_documents(table(spark, sf_dir, "documents"))
+
+
+_FUNCTIONS = (
+    op1_decontamination,
+    op2_neighbours,
+    op3_packing,
+    op4_warc,
+    op5_quality,
+    op6_chat,
+    op7_sharding,
+    op8_near_duplicates,
+    op9_repeats,
+    op10_html_text,
+    op11_fill_middle,
+    op12_token_counts,
+    op13_manifest,
+)
+
+ORACLES = {
+    "op1_decontamination": decontamination.SQL,
+    "op4_warc": warc.SQL,
+    "op6_chat": chat.SQL,
+    "op11_fill_middle": fill_middle.SQL,
+    "op13_manifest": manifest.SQL,
+}
 
 
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

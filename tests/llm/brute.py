@@ -66,3 +66,53 @@ def removed(docs, length=100):
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         out[doc] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def fill_middle(docs):
+    """docs as (id, text): rows (doc_id, n, form, prefix_chars, middle_chars, output)."""
+    out = []
+    for doc, text in docs:
+        text = text or ""
+        digest = hashlib.sha256(f"1:{'' if doc is None else doc}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(digest[8 * i : 8 * i + 8], 16) for i in range(4))
+        a, b = sorted((h1 % (len(text) + 1), h2 % (len(text) + 1)))
+        p, m, s = text[:a], text[a:b], text[b:]
+        if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+            out.append((doc, len(text), "plain", None, None, text))
+        elif h4 % 100 < 20:
+            out.append((doc, len(text), "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"))
+        else:
+            out.append((doc, len(text), "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"))
+    return out
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def climb(nodes, fanout):
+    """The root over the nodes, and for each node its siblings (left, right) level by level."""
+    paths, places, level = [[] for _ in nodes], list(range(len(nodes))), list(nodes)
+    while len(level) > 1:
+        for path, place in zip(paths, places):
+            begin = place - place % fanout
+            path.append(("".join(level[begin:place]), "".join(level[place + 1 : begin + fanout])))
+        level = [H(*level[i : i + fanout]) for i in range(0, len(level), fanout)]
+        places = [place // fanout for place in places]
+    return (level[0] if level else None), paths
+
+
+def manifest(rows, fanout):
+    """rows as (source, order, leaf): (source, order, leaf, subroot, root, path) for each, sources as bytes, null first."""
+    by_source = {}
+    for source, order, leaf in rows:
+        by_source.setdefault(source, []).append((order is not None, order or 0, leaf))
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: climb([leaf for *_, leaf in sorted(by_source[s])], fanout) for s in sources}
+    root, tops = climb([trees[s][0] for s in sources], fanout)
+    out = []
+    for source, top in zip(sources, tops):
+        subroot, paths = trees[source]
+        for (there, order, leaf), path in zip(sorted(by_source[source]), paths):
+            out.append((source, order if there else None, leaf, subroot, root, tuple(path + top)))
+    return out

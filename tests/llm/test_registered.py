@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_near_duplicates": "doc_id n_shingles component_id kept",
     "op9_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_html_text": "page_id url text n_chars",
+    "op11_fill_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
