@@ -13,6 +13,7 @@ MODULES = (
     "windowing",
     "firing",
     "streams",
+    "deliveries",
     "logfilter",
     "jobs",
 )
