@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from millrace.operators.joins import map_side_input
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sinks import files, jdbc, messages, stores, tables
+from millrace.sources import avro
 from millrace.sources import files as file_sources
 from millrace.sources import jdbc as jdbc_source
 from millrace.sources import tfrecord
@@ -59,19 +61,32 @@ def _(t):
     return lines.select(F.from_json("value", "o_orderkey long, o_orderstatus string").alias("r")).select("r.*")
 
 
+STATE = json.dumps(
+    {
+        "type": "record",
+        "name": "State",
+        "namespace": "geography",
+        "fields": [
+            {"name": "name", "type": "string"},
+            {"name": "post_abbr", "type": ["null", "string"], "default": None},
+            {"name": "n_customers", "type": "long"},
+        ],
+    }
+)
+
+
 @query("sink_avro_roundtrip", "SELECT n_name AS name, lower(substr(n_name, 1, 2)) AS post_abbr, n_customers FROM nation JOIN (SELECT c_nationkey, count(*) AS n_customers FROM customer GROUP BY 1) ON c_nationkey = n_nationkey")
 def _(t):
-    # Without the connector these records are Parquet, which this query says openly.
-    fmt = "avro" if file_sources.has_format(t.spark, "avro") else "parquet"
+    """Records written by an explicit schema, read back, lower-cased and saved by it again."""
     first, second = scratch_path(t.spark, "sink-avro"), scratch_path(t.spark, "sink-avro")
     counted = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n_customers"))
     states = t("nation").join(counted, "n_nationkey").select(
         F.col("n_name").alias("name"), F.substring("n_name", 1, 2).alias("post_abbr"), "n_customers"
     )
-    files.write_records(states, first, fmt, ["name"])
-    lowered = file_sources.read_records(t.spark, first, fmt=fmt).withColumn("post_abbr", F.lower("post_abbr"))
-    files.write_records(lowered, second, fmt)
-    return file_sources.read_records(t.spark, second, fmt=fmt)
+    avro.write_avro(states, first, STATE)
+    lowered = avro.read_avro(t.spark, first).withColumn("post_abbr", F.lower("post_abbr"))
+    avro.write_avro(lowered, second, STATE, codec="zstandard")
+    return avro.read_avro(t.spark, second)
 
 
 @query("sink_parquet", "SELECT c_name AS name, CAST(c_custkey % 90 AS BIGINT) AS age FROM customer")
