@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators import elementwise as E
 from millrace.plans.registry import query
+from millrace.plans.writing import PERSON_FIELDS
 from millrace.session import scratch_path
-from millrace.sinks import inserts
+from millrace.sinks import destinations, inserts
 from millrace.sources import watch
 from millrace.streaming import jobs as J
 
@@ -89,3 +91,22 @@ def _(t):
     finally:
         stream.stop()
     return t.spark.read.schema("window_start long, lines long").parquet(out)
+
+
+PERSON = "name string, year int, country string, grp string"
+
+
+@query("sink_any_destination", """
+SELECT country AS destination, name, year, CASE WHEN n_nationkey % 3 <> 1 THEN country END AS country,
+  CASE WHEN n_nationkey % 3 = 0 THEN grp END AS grp
+FROM persons JOIN nation ON n_name = country
+""", uses=("persons",))
+def _(t):
+    """A destination per country, none of them known beforehand; two thirds have a schema of their own in a table."""
+    path = scratch_path(t.spark, "sink-any")
+    persons = E.parse_delimited(t.view("person_lines"), "value", PERSON_FIELDS).select("name", "year", "country", "grp")
+    fields = {1: ["name", "year"], 2: ["name", "year", "country"]}
+    cases = [F.when(F.col("n_nationkey") % 3 == k, F.array(*map(F.lit, names))) for k, names in fields.items()]
+    schemas = t("nation").select(F.col("n_name").alias("destination"), F.coalesce(*cases).alias("fields")).where("fields IS NOT NULL")
+    destinations.write_to_destinations(persons, F.col("country"), path, schemas)
+    return destinations.read_destinations(t.spark, path, PERSON).select("destination", "name", "year", "country", "grp")

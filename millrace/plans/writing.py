@@ -12,7 +12,7 @@ from millrace.operators import elementwise as E
 from millrace.operators.joins import map_side_input
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sinks import files, jdbc, messages, stores, tables
+from millrace.sinks import destinations, files, jdbc, messages, stores, tables
 from millrace.sources import avro
 from millrace.sources import files as file_sources
 from millrace.sources import jdbc as jdbc_source
@@ -183,23 +183,15 @@ UNION ALL SELECT 'after', name, year, country FROM persons WHERE year > 1997
 UNION ALL SELECT 'before', name, year, country FROM persons WHERE year <= 1997
 """, uses=("persons",))
 def _(t):
-    persons = _persons(t)
-    by_group = tables.write_destinations(
-        persons, "grp", {"group1": ["name", "year"], "group2": ["name", "year", "country"]}, scratch_path(t.spark, "sink-groups")
-    )
-    by_year = tables.write_destinations(
-        persons.withColumn("when", F.when(F.col("year") > 1997, "after").otherwise("before")),
-        "when",
-        {"after": ["name", "year", "country"], "before": ["name", "year", "country"]},
-        scratch_path(t.spark, "sink-years"),
-    )
-    parts = [
-        t.spark.read.parquet(path).withColumn("destination", F.lit(name)) for name, path in {**by_group, **by_year}.items()
-    ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    return merged.select("destination", "name", "year", "country")
+    persons = _persons(t).select("name", "year", "country", "grp")
+    schemas = E.create_rows(t.spark, [("group1", ["name", "year"])], "destination string, fields array<string>")
+    by_group, by_year = scratch_path(t.spark, "sink-groups"), scratch_path(t.spark, "sink-years")
+    destinations.write_to_destinations(persons, F.col("grp"), by_group, schemas)
+    when = F.when(F.col("year") > 1997, "after").otherwise("before")
+    destinations.write_to_destinations(persons.drop("grp"), when, by_year)
+    columns = "name string, year int, country string"
+    groups = destinations.read_destinations(t.spark, by_group, columns)
+    return groups.unionByName(destinations.read_destinations(t.spark, by_year, columns)).select("destination", *persons.columns[:3])
 
 
 @query("sink_routed_by_side_input", """
@@ -213,14 +205,16 @@ def _(t):
         F.when(is_user, F.col("year")).alias("year"),
         F.when(~is_user, F.col("country")).alias("country"),
     )
+    # Both maps, kind to table and table to schema, are side inputs.
     routing = E.create_rows(t.spark, [("users", "users"), ("countries", "countries")], "kind string, destination string")
+    fields = [("users", ["name", "year"]), ("countries", ["country"])]
+    schemas = E.create_rows(t.spark, fields, "destination string, fields array<string>")
     kind = F.when(F.col("year").isNotNull(), "users").otherwise("countries")
     routed = map_side_input(rows.withColumn("kind", kind), routing, "kind", "destination").drop("kind")
-    schemas = {"users": ["name", "year"], "countries": ["country"]}
-    paths = tables.write_destinations(routed, "destination", schemas, scratch_path(t.spark, "sink-routed"))
-    users = t.spark.read.parquet(paths["users"]).withColumn("destination", F.lit("users"))
-    countries = t.spark.read.parquet(paths["countries"]).withColumn("destination", F.lit("countries"))
-    return users.unionByName(countries, allowMissingColumns=True).select("destination", "name", "year", "country")
+    path = scratch_path(t.spark, "sink-routed")
+    destinations.write_to_destinations(routed, F.col("destination"), path, schemas)
+    read = destinations.read_destinations(t.spark, path, "name string, year int, country string")
+    return read.select("destination", "name", "year", "country")
 
 
 @query("sink_partition_cluster", "SELECT name, date, country FROM person_dates", uses=("person_dates",))
