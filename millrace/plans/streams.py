@@ -14,6 +14,7 @@ from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
 from millrace.streaming import jobs as J
 from millrace.streaming import processors as P
+from millrace.streaming.lateness import panes_with_late_rows
 
 
 GROUPS, FILES = 3, 2
@@ -220,3 +221,66 @@ def _(t):
     batches = P.stream_batches_by_count(_sharded(t), ["ride_status", "shard"], F.col("event_id"), F.lit(100))
     path = _collect(t, lambda out, checkpoint: J.append_files(batches, out, checkpoint))
     return t.spark.read.parquet(path).select("ride_status", "shard", "batch", F.size("items").cast("long").alias("n"))
+
+
+BATCHES, WINDOW_H, LATENESS_H = 3, 6, 24
+
+# The arrival of each element: the third of the time it belongs to; every tenth comes a third later, every twentieth two.
+ARRIVAL = f"""
+numbered AS (SELECT *, epoch_us(ts) AS us, (SELECT min(epoch_us(ts)) FROM rides) AS low, (SELECT max(epoch_us(ts)) FROM rides) AS high FROM rides),
+arrived AS (SELECT *, us - us % {WINDOW_H * 3600_000_000} AS window_start,
+    least({BATCHES} - 1, (us - low) * {BATCHES} // (high - low + 1)
+      + CASE WHEN event_id % 20 = 7 THEN 2 WHEN event_id % 10 = 3 THEN 1 ELSE 0 END) AS batch FROM numbered),
+clock AS (SELECT batch, coalesce(max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 1000 * 1000 AS wm
+          FROM (SELECT batch, max(us) AS top FROM arrived GROUP BY batch)),
+timed AS (SELECT *, CASE WHEN wm > window_start + {(WINDOW_H + LATENESS_H) * 3600_000_000} THEN 'DROPPED'
+                         WHEN wm >= window_start + {WINDOW_H * 3600_000_000} THEN 'LATE' ELSE 'ON_TIME' END AS pane_timing
+          FROM arrived JOIN clock USING (batch)),
+panes AS (SELECT ride_status, window_start, pane_timing, CASE WHEN pane_timing <> 'ON_TIME' THEN batch END AS batch, count(*) AS n,
+            CAST(sum(passenger_count) AS BIGINT) AS total FROM timed GROUP BY ALL)
+"""
+
+
+@query("stream_lateness", f"""
+WITH {ARRIVAL.strip()}
+SELECT ride_status, window_start, window_start + {WINDOW_H * 3600_000_000} AS window_end, pane_timing, n, total,
+  CASE WHEN pane_timing <> 'DROPPED' THEN CAST(row_number() OVER (PARTITION BY ride_status, window_start, pane_timing = 'DROPPED'
+    ORDER BY pane_timing = 'LATE', batch) - 1 AS INTEGER) END AS pane_index
+FROM panes
+""", uses=("rides",))
+def _(t):
+    """Three micro-batches with elements on time, late and too late; a fourth with one element far ahead ends all windows."""
+    rides = t.view("rides").select("event_id", "ride_status", "ts", "passenger_count")
+    low, high = rides.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    part = F.expr(f"(unix_micros(ts) - {low or 0}L) * {BATCHES} div {(high or 0) - (low or 0) + 1}L")
+    behind = F.when(F.col("event_id") % 20 == 7, 2).when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    arrived = rides.withColumn("batch", F.least(F.lit(BATCHES - 1), part + behind))
+    root = scratch_path(t.spark, "arrived")
+    for batch in range(BATCHES):  # a file source takes files by their time of writing
+        arrived.where(F.col("batch") == batch).drop("batch").repartition(FILES).write.parquet(f"{root}/batch-{batch}")
+    ahead = rides.orderBy(F.col("ts").desc(), "event_id").limit(1).withColumn("ts", F.col("ts") + F.expr(AHEAD))
+    ahead.write.parquet(f"{root}/last")
+    stream = J.stream_files(t.spark, f"{root}/*", rides.schema, files_per_batch=FILES)
+    panes = panes_with_late_rows(stream, ["ride_status"], "ts", "passenger_count", WINDOW_H * 3600, LATENESS_H * 3600)
+    path = _collect(t, lambda out, checkpoint: J.append_files(panes, out, checkpoint))
+    return t.spark.read.schema(panes.schema).parquet(path)
+
+
+@query("stream_batches_by_time", f"""
+SELECT ride_status, event_id % {SHARDS} AS shard, CAST(event_id AS VARCHAR) AS item FROM rides
+""", uses=("rides",))
+def _(t):
+    """Buffers whose first element sets a processing-time timer: when the stream is stopped, all have been released."""
+    rides = t.view("rides").select("ride_status", F.pmod("event_id", F.lit(SHARDS)).alias("shard"), "event_id")
+    source = scratch_path(t.spark, "sharded")
+    rides.repartition(FILES * 2).write.parquet(source)
+    stream = J.stream_files(t.spark, source, rides.schema, files_per_batch=FILES)
+    delay = F.when(F.col("ride_status") == "enroute", 2).otherwise(1)
+    batches = P.stream_batches_by_time(stream, ["ride_status", "shard"], F.col("event_id"), delay)
+    out = scratch_path(t.spark, "stream-out")
+    writer = J.append_files(batches, out, J.new_checkpoint(t.spark)).trigger(processingTime="500 milliseconds")
+    running = writer.start()
+    # Every timer is due two seconds after its micro-batch at the latest.
+    J.stop_when_idle(running, idle_seconds=8, poll_seconds=0.25)
+    released = t.spark.read.schema(batches.schema).parquet(out)
+    return released.select("ride_status", "shard", F.explode("items").alias("item"))

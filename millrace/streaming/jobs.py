@@ -48,13 +48,19 @@ def run_triggered(writer: DataStreamWriter) -> StreamingQuery:
 
 
 def stop_when_idle(query: StreamingQuery, idle_seconds: float = 3600, poll_seconds: float = 10) -> None:
-    """Stop policy: ends the query once nothing new has come for ``idle_seconds``."""
+    """Stop policy: ends the query once nothing new has come for ``idle_seconds``.
+
+    A start, and a micro-batch with new rows that is still running, are not idle, however long they take.
+    """
     last_rows = time.monotonic()
     seen = -1
     while query.isActive:
         progress = query.lastProgress
         if progress and progress["batchId"] != seen and progress["numInputRows"] > 0:
             seen, last_rows = progress["batchId"], time.monotonic()
+        status = query.status
+        if status["isDataAvailable"] or status["message"].startswith("Initializing"):
+            last_rows = time.monotonic()
         if time.monotonic() - last_rows >= idle_seconds:
             query.stop()
             return
