@@ -52,8 +52,6 @@ def test_decontamination(spark, corpus):
     got = decontamination.contamination(docs_of(spark, corpus), bench).collect()
     wanted = brute.contamination(corpus, [("null" if i is None else i, t) for i, t in items])
     assert sorted(tuple(r) for r in got) == sorted(wanted)
-    by_groups = decontamination.find_contamination(docs_of(spark, corpus), bench, group_bytes=50)
-    assert sorted((r.doc_id, r.n_hit) for r in by_groups.collect()) == sorted((w[0], w[2]) for w in wanted)
     kept = decontamination.drop_contaminated(docs_of(spark, corpus), bench)
     assert {r.doc_id for r in kept.collect()} == {w[0] for w in wanted if not w[5]}
     assert kept.schema == docs_of(spark, corpus).schema
@@ -69,6 +67,60 @@ def test_decontamination_gives_the_places(spark):
     assert row.spans[0]["items"] == ["7"]
 
 
+@pytest.mark.parametrize("width, vocabulary", [(1, 3), (2, 3), (3, 2), (10, 2), (10, 40), (150, 1)])
+def test_automaton_finds_every_window(width, vocabulary):
+    rng = random.Random(width * 100 + vocabulary)
+    items = [(str(i % 9), " ".join(words(rng, rng.randrange(0, 3 * width), vocabulary)).encode()) for i in range(12)]
+    machine = decontamination.Automaton(tuple(items), width)
+    texts = [" ".join(words(rng, n, vocabulary + 1)) for n in (0, 1, 5, 63, 64, 65, 300, 2000)]
+    scan = decontamination.Scan(machine, [t.encode() for t in texts])
+    wanted = brute.contamination(list(enumerate(texts)), [(i, t.decode()) for i, t in items]) if width == 10 else None
+    of = {}
+    for item, text in items:
+        line = text.decode().split()
+        for i in range(max(1, len(line) - width + 1)) if line else ():
+            of.setdefault(tuple(line[i : i + width]), set()).add(item)
+    found = scan.occurrences()
+    for k, text in enumerate(texts):
+        line = text.split()
+        places = {(i, i + n, w) for n in {len(w) for w in of} for i in range(len(line) - n + 1) if (w := tuple(line[i : i + n])) in of}
+        assert sorted((a, b, sorted(of[w])) for a, b, w in places) == sorted(found.get(k, []))
+        assert scan.n_words[k] == len(line)
+        assert scan.covered()[k] == len({i for a, b, _ in places for i in range(a, b)})
+        if wanted:
+            assert wanted[k][1:4] == (scan.n_words[k], scan.covered()[k], len(scan.items().get(k, [])))
+
+
+def test_long_lines_are_numbered_in_parts():
+    machine = decontamination.Automaton((("1", b"a bb ccc"),), 10)
+    line = b"a bb  ccc x " * 50
+    for at_most in (1, 7, 1 << 20):
+        assert machine.numbers(line, at_most).tolist() == [0, 1, 2, -1] * 50
+
+
+def test_automaton_is_built_once_per_worker(spark, monkeypatch):
+    built = []
+    plain = decontamination.Automaton.__init__
+    monkeypatch.setattr(decontamination.Automaton, "__init__", lambda self, *a: (built.append(1), plain(self, *a))[1])
+    bench = spark.createDataFrame([(1, "a b c"), (2, "x " * 30)], "item_id long, text string")
+    shared = decontamination.shared_items(bench, 1000)
+    machines = {id(decontamination.automaton(shared, 10)) for _ in range(50)}
+    assert len(built) == len(machines) == 1
+    decontamination.automaton(decontamination.shared_items(bench, 1000), 10)
+    assert len(built) == 2
+
+
+def test_automaton_of_a_large_benchmark():
+    rng = np.random.default_rng(3)
+    text = [b" ".join(b"w%d" % n for n in rng.zipf(1.3, 400) % 50_000) for _ in range(1000)]  # 2 MB
+    items = tuple((str(i), t) for i, t in enumerate(text))
+    machine = decontamination.Automaton(items, 10)
+    held = sum(a.nbytes for a in vars(machine).values() if isinstance(a, np.ndarray))
+    assert held < 40 * sum(map(len, text))
+    scan = decontamination.Scan(machine, [text[7], b"before " + b" ".join(text[9].split()[100:109]), b"of " + b" ".join(text[8].split()[50:62])])
+    assert (scan.covered() == [400, 0, 12]).all() and "7" in scan.items()[0] and scan.items()[2] == ["8"]
+
+
 def test_decontamination_without_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(docs_of(spark, []), none).count() == 0
