@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
+import re
 import uuid
 import zipfile
 import zlib
@@ -16,11 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import pieces
 from millrace.llm.common import null_safe, written
-from millrace.llm.zipfiles import data_start, directory, read_range
+from millrace.llm.zipfiles import Member, content, data_start, directory, read_range
 from millrace.session import scratch_path
 
-DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
+FILE = "data.warc.gz"
+DATA, INDEX, PACKAGE = f"archive/{FILE}", "indexes/index.cdxj", "datapackage.json"
+GZIP = b"\x1f\x8b"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: The pages carry no date of capture.
 DATE = "1970-01-01T00:00:00Z"
@@ -33,8 +38,9 @@ def name_of(page_id: int | None) -> str:
 
 
 def page_of(name: str | None) -> int | None:
-    number = name[len("<urn:page:") : -1] if name else "null"
-    return None if number == "null" else int(number)
+    """The page of a record's name; null for a record that is none of a numbered page."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]+)>", name or "")
+    return int(found[1]) if found else None
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> tuple[bytes, str]:
@@ -59,19 +65,28 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return packer.compress(text.encode() + block + b"\r\n\r\n") + packer.flush(), digest.hex()
 
 
-def parse(data: bytes) -> tuple[int | None, int, str, str, int | None, bytes]:
-    """A record's page, payload size, digest, type, referred page and payload (none for a revisit)."""
-    head, _, rest = zlib.decompress(data, 31).partition(b"\r\n\r\n")
+def parse(data: bytes) -> tuple[int | None, int, str, str, int | None, bytes] | None:
+    """A record's page, payload size, digest, type, referred page and payload (none for a revisit).
+
+    None for records of other types, such as requests and the description of an archive.
+    """
+    head, _, rest = (zlib.decompress(data, 31) if data[:2] == GZIP else bytes(data)).partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("no WARC record here")
     fields = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines)}
-    http, _, payload = rest[: int(fields["content-length"])].partition(b"\r\n\r\n")
-    size = next(int(line[15:]) for line in http.decode().split("\r\n") if line.lower().startswith("content-length:"))
-    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:"))
     kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).digest() != digest):
-        raise ValueError(f"payload of {fields['warc-record-id']} does not match its digest")
+    if kind not in ("response", "revisit"):
+        return None
+    http, _, payload = rest[: int(fields["content-length"])].partition(b"\r\n\r\n")
+    told = [int(line[15:]) for line in http.decode("latin-1").split("\r\n") if line.lower().startswith("content-length:")]
+    size = told[0] if told else len(payload)
+    digest = hashlib.sha1(payload).digest()
+    if given := fields.get("warc-payload-digest", "").removeprefix("sha1:"):
+        given = base64.b32decode(given)
+        if kind == "response" and (len(payload) != size or digest != given):
+            raise ValueError(f"payload of {fields['warc-record-id']} does not match its digest")
+        digest = given
     refers = page_of(fields.get("warc-refers-to")) if kind == "revisit" else None
     return page_of(fields["warc-record-id"]), size, digest.hex(), kind, refers, payload
 
@@ -87,7 +102,8 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 256 << 20
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base)
         paths: list[str] = []
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        parts = (part for batch in batches for part in pieces(batch, "html"))
+        rows = (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns)))
         row = next(rows, None)
         while row is not None:
             name = f"pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.wacz"
@@ -98,7 +114,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 256 << 20
                         page_id, url, html, refers_to = row
                         data, digest = record(page_id, url, (html or "").encode(), refers_to)
                         member.write(data)
-                        entry = {"url": url, "digest": f"sha1:{digest}", "offset": size, "length": len(data)}
+                        entry = {"url": url, "digest": f"sha1:{digest}", "filename": FILE, "offset": size, "length": len(data)}
                         index.append(f"{name_of(page_id)} {DATE} {json.dumps(entry)}\n")
                         size += len(data)
                         row = next(rows, None)
@@ -111,26 +127,71 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 256 << 20
     return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string")
 
 
+def walked(file, begin: int, size: int, piece: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the compressed records of an archive that no index names, by going through it."""
+    here, at, data = 0, 0, b""
+    while here < size:
+        packer = zlib.decompressobj(31)
+        while not packer.eof:
+            if not data:
+                if at >= size:
+                    raise ValueError("the last record of an archive is not whole")
+                data = read_range(file, begin + at, min(piece, size - at))
+                at += len(data)
+            packer.decompress(data)
+            data = packer.unused_data
+        end = at - len(data)
+        yield here, end - here
+        here = end
+
+
+def records_of(file, members: dict[str, Member]) -> Iterator[tuple[int, int]]:
+    """(place in the package, length) of the records of all archives, archive by archive, each once.
+
+    Archives are stored members of the folder ``archive``, indexes members of ``indexes``, packed or not. An index
+    line names its archive, or, where there is but one, may leave the name out.
+    """
+    archives = {n.rpartition("/")[2]: m for n, m in members.items() if n.startswith("archive/") and n.endswith((".warc.gz", ".warc"))}
+    entries: dict[str, dict[int, int]] = {name: {} for name in archives}
+    for name, member in members.items():
+        if not name.startswith("indexes/") or ".cdx" not in name:
+            continue
+        lines = content(file, member)
+        for line in (gzip.decompress(lines) if lines[:2] == GZIP else lines).splitlines():
+            found = re.search(rb"\{.*\}\s*$", line)
+            if found is None:  # a heading
+                continue
+            entry = json.loads(found[0])
+            of = entry.get("filename", "").rpartition("/")[2] or (next(iter(archives)) if len(archives) == 1 else "")
+            if of not in entries:
+                raise ValueError(f"{name} names the archive {of or '(none)'}, which is not in the package")
+            entries[of][int(entry["offset"])] = int(entry["length"])
+    for name, member in archives.items():
+        start = data_start(file, member)
+        for offset, length in sorted(entries[name].items()) or walked(file, start, member.size):
+            yield start + offset, length
+
+
 def read_archives(paths: DataFrame, run_bytes: int = 8 << 20) -> DataFrame:
-    """Every record of the packages named in ``path``, by range reads of their index and their stored archive.
+    """Every page record of the packages named in ``path``, by range reads of their indexes and stored archives.
 
-    An index gives the runs of about ``run_bytes`` that tasks read on their own, so a large package is read by many.
+    A package may hold several archives and indexes; an archive without index lines is gone through once. Records lie
+    in runs of about ``run_bytes`` without gaps, which are dealt evenly to as many tasks, so a large package is read by
+    many. The runs are written first: their number decides how many tasks there are.
     """
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, place = fs.FileSystem.from_uri(path)
+                begins, lengths, held, end = [], [], 0, None
                 with store.open_input_file(place) as file:
-                    members = directory(file, file.size())
-                    index = read_range(file, data_start(file, members[INDEX]), members[INDEX].size)
-                    start = data_start(file, members[DATA])
-                entries = [json.loads(line.split(b" ", 2)[2]) for line in index.splitlines()]
-                begins, lengths = [], []
-                for entry in entries:
-                    if not lengths or sum(lengths[-1]) >= run_bytes:
-                        begins.append(start + entry["offset"]), lengths.append([])
-                    lengths[-1].append(entry["length"])
+                    for begin, length in records_of(file, directory(file, file.size())):
+                        if begin != end or held >= run_bytes:
+                            begins.append(begin), lengths.append([])
+                            held = 0
+                        lengths[-1].append(length)
+                        held, end = held + length, begin + length
                 columns = [pa.array([path] * len(begins), pa.string()), pa.array(begins, pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(lengths, pa.list_(pa.int64()))], names=["path", "start", "lengths"]
@@ -145,7 +206,7 @@ def read_archives(paths: DataFrame, run_bytes: int = 8 << 20) -> DataFrame:
                 columns: tuple[list, ...] = ([], [], [], [], [])
                 here = 0
                 for length in lengths:
-                    for column, value in zip(columns, parse(data[here : here + length])):
+                    for column, value in zip(columns, parse(data[here : here + length]) or ()):
                         column.append(value)
                     here += length
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
@@ -153,8 +214,8 @@ def read_archives(paths: DataFrame, run_bytes: int = 8 << 20) -> DataFrame:
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in RECORD.split(", ")]
                 )
 
-    runs = paths.mapInArrow(locate, "path string, start long, lengths array<long>")
-    return runs.repartition("path", "start").mapInArrow(read, RECORD)
+    runs = written(paths.mapInArrow(locate, "path string, start long, lengths array<long>"), "archive-runs")
+    return runs.repartition(max(1, runs.count())).mapInArrow(read, RECORD)
 
 
 def revisits(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:

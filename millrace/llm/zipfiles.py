@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from dataclasses import dataclass
 
 # Fixed values of the ZIP format.
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
-FULL16, FULL32, STORED, EXTRA64 = 0xFFFF, 0xFFFFFFFF, 0, 1
+FULL16, FULL32, STORED, DEFLATED, EXTRA64 = 0xFFFF, 0xFFFFFFFF, 0, 8, 1
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,9 @@ def directory(file, size: int) -> dict[str, Member]:
     tail_start = max(0, size - 22 - FULL16)
     tail = read_range(file, tail_start, size - tail_start)
     at = tail.rfind(END)
+    # The true one is followed by a comment that ends with the file; the comment may hold the signature.
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
+        at = tail.rfind(END, 0, at)
     if at < 0:
         raise ValueError("no end of central directory")
     count, length, start = struct.unpack_from("<HII", tail, at + 10)
@@ -68,11 +72,25 @@ def directory(file, size: int) -> dict[str, Member]:
     return found
 
 
-def data_start(file, member: Member) -> int:
-    """Where a stored member's bytes begin."""
-    if member.method != STORED:
-        raise ValueError(f"{member.name} is compressed; its records can't be read by range")
+def _start(file, member: Member) -> int:
     head = read_range(file, member.header, 30)
     if head[:4] != LOCAL:
         raise ValueError(f"no local header for {member.name}")
     return member.header + 30 + sum(struct.unpack_from("<HH", head, 26))
+
+
+def data_start(file, member: Member) -> int:
+    """Where a stored member's bytes begin."""
+    if member.method != STORED:
+        raise ValueError(f"{member.name} is compressed; its records can't be read by range")
+    return _start(file, member)
+
+
+def content(file, member: Member) -> bytes:
+    """A whole member, stored or compressed."""
+    data = read_range(file, _start(file, member), member.size)
+    if member.method == DEFLATED:
+        return zlib.decompress(data, -15)
+    if member.method != STORED:
+        raise ValueError(f"{member.name} is packed by method {member.method}")
+    return data

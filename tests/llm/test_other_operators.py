@@ -1,7 +1,9 @@
 """Packing, archives, pages, chat, sharding, neighbours and the classifier."""
 
+import gzip
 import hashlib
 import io
+import json
 import random
 import zipfile
 import zlib
@@ -98,6 +100,38 @@ def test_archives(spark, tmp_path):
     assert warc.archive_pages(spark, frame.limit(0), (tmp_path / "none").as_uri()).count() == 0
 
 
+def test_packages_made_elsewhere(spark, tmp_path):
+    """Two archives, an index packed twice, one archive without index, requests, a heading and a misleading comment."""
+    made = [warc.record(k, "http://a/", f"page {k}".encode() * 40, 3 if k == 4 else None)[0] for k in range(9)]
+    info = zlib.compress(b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 2\r\n\r\nab\r\n\r\n", wbits=31)
+    other = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:2>\r\nContent-Length: 23\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n"
+    lines = ["!meta 0 {not an entry"]
+    for archive, records in (("a.warc.gz", [info, *made[:3]]), ("b.warc.gz", made[3:6])):
+        at = 0
+        for data in records:
+            entry = {"filename": archive, "offset": str(at), "length": str(len(data))}
+            lines += [f"com,a)/ 2020 {json.dumps(entry)}"] * 2
+            at += len(data)
+    index = gzip.compress("\n".join(lines).encode())
+    path = tmp_path / "made.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as package:
+        package.writestr("archive/a.warc.gz", info + b"".join(made[:3]))
+        package.writestr("archive/b.warc.gz", b"".join(made[3:6]))
+        package.writestr("archive/c.warc.gz", b"".join(made[6:]) + zlib.compress(other, wbits=31))
+        package.writestr(zipfile.ZipInfo("indexes/index.cdx.gz"), index, zipfile.ZIP_DEFLATED)
+        package.comment = b"PK\x05\x06 and more " * 3
+    paths = spark.createDataFrame([(path.as_uri(),)], "path string")
+    for run_bytes in (10, 1 << 20):
+        got = warc.read_archives(paths, run_bytes).collect()
+        assert sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.refers_to) for r in got) == sorted(
+            [(k, 240, 3 if k == 4 else None) for k in range(9)] + [(-1, 4, None)], key=lambda r: r[0]
+        )
+    with zipfile.ZipFile(path, "a") as package:
+        package.writestr("indexes/wrong.cdxj", 'x 1 {"filename": "z.warc.gz", "offset": 0, "length": 1}')
+    with pytest.raises(Exception, match="names the archive z"):
+        warc.read_archives(paths).collect()
+
+
 def test_directory_of_large_packages():
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w", zipfile.ZIP_STORED, allowZip64=True) as package:
