@@ -292,9 +292,9 @@ def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, o
         _shared_only, "gram long, dkey long, twin long, place long"
     )
     shared = written(shared, "anchors")
-    # At most one crowded gram for every ``crowd`` anchors.
+    # At most one crowded gram for every ``crowd`` anchors; the join splits the anchors of one.
     crowded = shared.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
-    crowded = F.broadcast(crowded.select("gram", F.lit(True).alias("crowded")))
+    crowded = crowded.select("gram", F.lit(True).alias("crowded"))
     marked = shared.join(crowded, "gram", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
     keys = ["dkey", "twin"]
     marks = marked.groupBy(*keys).agg(F.collect_list(F.struct("place", "gram", "crowded")).alias("marks"))
