@@ -150,6 +150,20 @@ def _(t):
     return jdbc.read_partitioned(t.spark, url, table, "c_custkey", rows_per_range=4000)
 
 
+@query("src_jdbc_uneven", """
+SELECT CASE WHEN c_custkey % 10 = 0 THEN c_custkey * 1000003 ELSE c_custkey END AS id, c_name AS name FROM customer
+""")
+def _(t):
+    """Ids of which nine in ten lie close together and the others far apart, read in ranges of as many rows."""
+    from millrace.sinks import jdbc as jdbc_sink
+
+    url, table = jdbc.configured_url(t.spark), f"uneven_{uuid.uuid4().hex[:12]}"
+    key = F.col("c_custkey")
+    people = t("customer").select(F.when(key % 10 == 0, key * 1000003).otherwise(key).alias("id"), F.col("c_name").alias("name"))
+    jdbc_sink.append(people, url, table, properties={"createTableColumnTypes": "name VARCHAR(64)"})
+    return jdbc.read_even(t.spark, url, table, "id", rows_per_range=500)
+
+
 def _saved_orders(t, columns):
     """Orders as a catalog table of a new name, stored in the shared folder."""
     name = f"orders_{uuid.uuid4().hex[:12]}"

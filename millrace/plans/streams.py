@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators import elementwise as E
 from millrace.operators import triggers as T
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
@@ -284,3 +285,43 @@ def _(t):
     J.stop_when_idle(running, idle_seconds=8, poll_seconds=0.25)
     released = t.spark.read.schema(batches.schema).parquet(out)
     return released.select("ride_status", "shard", F.explode("items").alias("item"))
+
+
+METRICS = """
+pickups count(*) FILTER (ride_status = 'pickup')
+dropoffs count(*) FILTER (ride_status = 'dropoff')
+enroutes count(*) FILTER (ride_status = 'enroute')
+net_people sum(CASE ride_status WHEN 'pickup' THEN 1 WHEN 'dropoff' THEN -1 ELSE 0 END * passenger_count)
+cost_count count(*) FILTER (ride_status = 'dropoff')
+cost_sum sum(CAST(trunc(meter_reading * 1000) AS BIGINT)) FILTER (ride_status = 'dropoff')
+cost_min min(CAST(trunc(meter_reading * 1000) AS BIGINT)) FILTER (ride_status = 'dropoff')
+cost_max max(CAST(trunc(meter_reading * 1000) AS BIGINT)) FILTER (ride_status = 'dropoff')
+"""
+_METRIC_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST({value} AS BIGINT) AS value FROM rides"
+    for name, value in (line.split(" ", 1) for line in METRICS.strip().splitlines())
+)
+
+
+@query("stream_observed_metrics", f"""
+WITH kinds AS (SELECT unnest(['batch', 'stream']) AS kind)
+SELECT kind, 'row' AS name, event_id AS value FROM rides, kinds UNION ALL SELECT kind, name, value FROM ({_METRIC_SQL}), kinds
+""", uses=("rides",))
+def _(t):
+    """Rides pass through a batch job and a stream; what each writes stands beside the metrics taken on the way."""
+    metrics = E.metric_columns("ride_status", "passenger_count", "meter_reading")
+    written, streamed = scratch_path(t.spark, "observed"), scratch_path(t.spark, "observed")
+    passed, observation = E.observe_metrics(t.view("rides"), metrics, "rides")
+    passed.select("event_id").write.parquet(written)
+
+    def write(rows):
+        return J.append_files(rows.select("event_id"), streamed, J.new_checkpoint(t.spark))
+
+    rides = _stream(t, closing=False).view("rides")
+    taken = {"batch": observation.get, "stream": J.run_observed(rides, "rides", metrics, write)}
+    values = [(kind, name, value) for kind, found in taken.items() for name, value in found.items()]
+    result = t.spark.createDataFrame(values, "kind string, name string, value long")
+    for kind, path in (("batch", written), ("stream", streamed)):
+        rows = t.spark.read.schema("event_id long").parquet(path)
+        result = result.unionByName(rows.select(F.lit(kind).alias("kind"), F.lit("row").alias("name"), F.col("event_id").alias("value")))
+    return result

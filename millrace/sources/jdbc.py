@@ -52,3 +52,60 @@ def read_partitioned(
         numPartitions=-(-n // rows_per_range),
         properties=properties or {},
     )
+
+
+CELLS = 64
+
+
+def even_ranges(
+    spark: SparkSession, url: str, table: str, column: str, rows_per_range: int, properties: dict | None = None
+) -> list[tuple[int, int, int]]:
+    """Ranges [low, high) of a whole-number column with their rows, each of about ``rows_per_range``, however uneven the ids.
+
+    The database counts the rows of equal cells; a cell with too many is cut into cells again, so only dense parts are
+    looked at closely. Neighbours are then put together. A single id with more rows than wanted is a range of its own.
+    """
+    quoted = f'"{column}"'
+    facts = f'SELECT MIN({quoted}) AS "low", MAX({quoted}) AS "high", COUNT({quoted}) AS "n" FROM {table}'
+    low, high, n = read_query(spark, url, facts, properties).first()
+    if not n:
+        return []
+    cells, heavy = [], [(int(low), int(high) + 1, int(n))]
+    while heavy:
+        begin, end, rows = heavy.pop()
+        if 2 * rows <= rows_per_range or end - begin == 1:
+            cells.append((begin, end, rows))
+            continue
+        width = -(-(end - begin) // CELLS)
+        counts = (
+            f'SELECT ({quoted} - {begin}) / {width} AS "cell", COUNT(*) AS "n" FROM {table} '
+            f"WHERE {quoted} >= {begin} AND {quoted} < {end} GROUP BY ({quoted} - {begin}) / {width}"
+        )
+        for cell, held in read_query(spark, url, counts, properties).collect():
+            first = begin + int(cell) * width
+            heavy.append((first, min(first + width, end), int(held)))
+    ranges: list[tuple[int, int, int]] = []
+    for begin, end, rows in sorted(cells):
+        if ranges and ranges[-1][2] + rows <= rows_per_range:
+            ranges[-1] = (ranges[-1][0], end, ranges[-1][2] + rows)
+        else:
+            ranges.append((begin, end, rows))
+    return ranges
+
+
+def read_even(
+    spark: SparkSession, url: str, table: str, column: str, rows_per_range: int = 1_000_000, properties: dict | None = None
+) -> DataFrame:
+    """Parallel scan in ranges of as many rows each, for ids that lie in clusters. Rows without an id come as one range.
+
+    The ranges are taken before the scan: rows that come between them meanwhile are read too, as the first and the last
+    range have no outer end and ranges leave no gap.
+    """
+    cuts = [begin for begin, _, _ in even_ranges(spark, url, table, column, rows_per_range, properties)][1:]
+    if not cuts:
+        return read_table(spark, url, table, properties)
+    quoted = f'"{column}"'
+    predicates = [f"{quoted} < {cuts[0]}"]
+    predicates += [f"{quoted} >= {a} AND {quoted} < {b}" for a, b in zip(cuts, cuts[1:])]
+    predicates += [f"{quoted} >= {cuts[-1]}", f"{quoted} IS NULL"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})

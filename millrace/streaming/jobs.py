@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import fnmatch
 import re
+import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import quote
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from millrace.functions.text import STORAGE_PATH_PATTERN, matches_whole
 from millrace.session import scratch_path
@@ -67,6 +68,46 @@ def stop_when_idle(query: StreamingQuery, idle_seconds: float = 3600, poll_secon
         time.sleep(poll_seconds)
 
 
+class ObservedMetrics(StreamingQueryListener):
+    """The metrics that ``observe(name, …)`` takes in each micro-batch, put together over a stream.
+
+    Columns that end in ``_min`` or ``_max`` are least and largest values, all others are sums; null counts as nothing.
+    Only one row for all micro-batches is held. Metrics come with the progress of a micro-batch, after its rows.
+    """
+
+    def __init__(self, name: str) -> None:
+        self.name, self.totals, self.ended = name, {}, threading.Event()
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        for key, value in (row.asDict() if row is not None else {}).items():
+            before = self.totals.get(key)
+            if value is None or before is None:
+                self.totals[key] = before if value is None else value
+            else:
+                merge = min if key.endswith("_min") else max if key.endswith("_max") else lambda a, b: a + b
+                self.totals[key] = merge(before, value)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def run_observed(stream: DataFrame, name: str, metrics: Sequence[Column], write: Callable[[DataFrame], DataStreamWriter]) -> dict:
+    """Runs the stream to the end of what is there; its rows pass on to the writer, its metrics are the result."""
+    spark, listener = stream.sparkSession, ObservedMetrics(name)
+    spark.streams.addListener(listener)
+    try:
+        run_available(write(stream.observe(name, *metrics)))
+        listener.ended.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.totals
+
+
 def windowed_aggregate(
     stream: DataFrame,
     ts: str,

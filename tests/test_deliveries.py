@@ -186,3 +186,34 @@ def test_places(tmp_path):
     assert names(places.files_under(f"file:{tmp_path}/a[1]")) == ["a[1]/f"]
     assert names(i for _, i in places.matching_files(f"file://{tmp_path}/*/?")) == ["a[1]/f", "x/g"]
     assert [u for u, _ in places.matching_files(f"{tmp_path}/x/*/h")] == [f"file://{tmp_path}/x/y/h"]
+
+
+def test_ranges_of_clustered_ids_are_even(spark):
+    from millrace.sinks import jdbc as jdbc_sink
+    from millrace.sources import jdbc
+
+    url, name = jdbc.configured_url(spark), "clustered_ids_of_the_tests"
+    n = F.col("id")
+    # A dense cluster, two far ones, ids below zero, one id many times, and rows without id.
+    ids = F.when(n < 3000, n).when(n < 3500, n * 10**12).when(n < 4000, -n * 7919).when(n < 4900, F.lit(5 * 10**9)).when(n < 4950, n + 10**7)
+    jdbc_sink.append(spark.range(5000).select(ids.alias("id"), n.alias("n")), url, name)
+    ranges = jdbc.even_ranges(spark, url, name, "id", 250)
+    assert sum(r[2] for r in ranges) == 4950 and ranges == sorted(ranges)
+    sizes = sorted(r[2] for r in ranges)
+    mean = sum(sizes[:-1]) / (len(sizes) - 1)
+    assert sizes[-1] == 900 and sizes[-2] < 2 * mean  # only the one repeated id is larger
+    read = jdbc.read_even(spark, url, name, "id", 250)
+    assert read.rdd.getNumPartitions() == len(ranges) + 1
+    assert sorted(r.n for r in read.collect()) == list(range(5000))
+    jdbc_sink.append(spark.range(3).where("id < 0"), url, "no_ids_of_the_tests")
+    assert jdbc.read_even(spark, url, "no_ids_of_the_tests", "id", 10).count() == 0
+
+
+def test_metrics_of_a_stream_are_put_together(spark):
+    parts = [[(1,), (5,)], [(None,)], [(-3,), (10,)]]
+    stream = J.stream_files(spark, drops(spark, parts, "v long"), "v long", files_per_batch=1)
+    out = scratch_path(spark, "out")
+    metrics = [F.count("*").alias("n"), F.sum("v").alias("total"), F.min("v").alias("v_min"), F.max("v").alias("v_max")]
+    got = J.run_observed(stream, "m", metrics, lambda rows: J.append_files(rows, out, J.new_checkpoint(spark)))
+    assert got == {"n": 5, "total": 13, "v_min": -3, "v_max": 10}
+    assert spark.read.parquet(out).count() == 5
