@@ -5,7 +5,7 @@ from __future__ import annotations
 import fnmatch
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote
 
 from pyarrow import fs
@@ -73,14 +73,15 @@ class Drafts:
         store.create_dir(folder, recursive=True)
         return store, f"{folder}/{uuid.uuid4().hex}"
 
-    def publish(self, moves: list[tuple[str, str]], replaced: str | None = None) -> None:
+    def publish(self, moves: list[tuple[str, str]], replaced: str | None = None, within: Iterable[str] = ("",)) -> None:
         """Moves drafts to their names below the target, one that is there already giving way.
 
-        Then removes the files that were there and whose name below the target the pattern ``replaced`` matches.
+        Then removes the files that were in the folders ``within`` (by default the target) and whose name below the
+        target the pattern ``replaced`` matches. Only these folders are listed.
         """
         store, root = self._root()
         store.create_dir(root, recursive=True)
-        earlier = {i.path for i in files_under(self.path)} if replaced else set()
+        earlier = {i.path for folder in within for i in files_under(f"{self.path}/{folder}".rstrip("/"))} if replaced else set()
         kept = set()
         for folder in sorted({name.rpartition("/")[0] for _, name in moves}):
             store.create_dir(f"{root}/{folder}", recursive=True)

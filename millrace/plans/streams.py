@@ -13,6 +13,7 @@ from millrace.operators import elementwise as E
 from millrace.operators import triggers as T
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
+from millrace.sinks.windowed import windowed_files
 from millrace.streaming import jobs as J
 from millrace.streaming import processors as P
 from millrace.streaming.lateness import panes_with_late_rows
@@ -325,3 +326,21 @@ def _(t):
         rows = t.spark.read.schema("event_id long").parquet(path)
         result = result.unionByName(rows.select(F.lit(kind).alias("kind"), F.lit("row").alias("name"), F.col("event_id").alias("value")))
     return result
+
+
+@query("stream_named_files", """
+SELECT strftime(close, '%Y/%m/%d/%H-%M') AS close, key, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS events FROM (
+  SELECT event_id, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 1 DAY AS close,
+         ride_status || CASE WHEN passenger_count > 2 THEN '-multiple' ELSE '-few' END AS key FROM rides)
+GROUP BY 1, 2
+""", uses=("rides",))
+def _(t):
+    """Files named by window close, key, pane and shard; the names are read back."""
+    key = F.concat("ride_status", F.when(F.col("passenger_count") > 2, "-multiple").otherwise("-few"))
+    rides = _stream(t, closing=False).view("rides")
+    path = _collect(t, lambda out, checkpoint: windowed_files(rides, "ts", key, out, checkpoint, 86400, shards=2))
+    rows = t.spark.read.schema("event_id long").option("recursiveFileLookup", "true").parquet(path)
+    name = r"([0-9]{4}/[0-9]{2}/[0-9]{2}/[0-9]{2}-[0-9]{2})--(.+)-pane-[0-9]{6}-[0-9]{5}-of-[0-9]{5}\.parquet$"
+    file = F.col("_metadata.file_path")
+    named = rows.select(F.regexp_extract(file, name, 1).alias("close"), F.regexp_extract(file, name, 2).alias("key"), "event_id")
+    return named.groupBy("close", "key").agg(F.count("*").alias("n"), F.sum("event_id").alias("events"))

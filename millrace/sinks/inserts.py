@@ -14,14 +14,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, WriterCommitMessage
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from millrace.functions.places import Drafts, files_under
+from millrace.functions.places import Drafts, place_of
 from millrace.sinks.tables import split_rejected
 
 NEVER, TRANSIENT, ALWAYS = "never", "transient", "always"
@@ -48,8 +48,8 @@ class Inserted(WriterCommitMessage):
 class InsertWriter(DataSourceStreamArrowWriter):
     """Writes the requests of a task as files, and puts them in place when the micro-batch commits.
 
-    A micro-batch that is run again, whatever its number of tasks, replaces its own files: names carry the
-    micro-batch, the task and the request.
+    A micro-batch that is run again, whatever its number of tasks, replaces its own files: each has a folder of its own,
+    in which names carry the task and the request.
     """
 
     def __init__(self, path: str, retry: str, attempts: int, request_rows: int, wait_seconds: float) -> None:
@@ -103,11 +103,12 @@ class InsertWriter(DataSourceStreamArrowWriter):
         return Inserted(context.partitionId() if context else 0, drafts)
 
     def commit(self, messages: list, batchId: int) -> None:
-        moves = []
+        moves, mine = [], f"batch-{batchId:012d}"
         for message in sorted((m for m in messages if m is not None), key=lambda m: m.task):
             for request, (draft, folder) in enumerate(message.drafts):
-                moves.append((draft, f"{folder}/batch-{batchId:012d}-{message.task:06d}-{request:06d}.parquet"))
-        self.drafts.publish(moves, rf"(rows|failed)/batch-{batchId:012d}-")
+                moves.append((draft, f"{folder}/{mine}/{message.task:06d}-{request:06d}.parquet"))
+        # Only this micro-batch's own folders are looked through, however long the stream has been running.
+        self.drafts.publish(moves, ".*", [f"rows/{mine}", f"failed/{mine}"])
 
     def abort(self, messages: list, batchId: int) -> None:
         self.drafts.clear()
@@ -160,6 +161,7 @@ def failed_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    if not files_under(path):
+    store, place = place_of(path)
+    if store.get_file_info(place).type != fs.FileType.Directory:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*[F.col(f.name) for f in schema])
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)

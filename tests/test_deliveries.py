@@ -47,8 +47,8 @@ def batch(rows):
 
 
 def contents(path):
-    good = [r["id"] for f in sorted(path.glob("rows/*.parquet")) for r in pq.read_table(f).to_pylist()]
-    bad = [(r["row"], r["error"]) for f in sorted(path.glob("failed/*.parquet")) for r in pq.read_table(f).to_pylist()]
+    good = [r["id"] for f in sorted(path.glob("rows/*/*.parquet")) for r in pq.read_table(f).to_pylist()]
+    bad = [(r["row"], r["error"]) for f in sorted(path.glob("failed/*/*.parquet")) for r in pq.read_table(f).to_pylist()]
     return good, bad
 
 
@@ -217,3 +217,54 @@ def test_metrics_of_a_stream_are_put_together(spark):
     got = J.run_observed(stream, "m", metrics, lambda rows: J.append_files(rows, out, J.new_checkpoint(spark)))
     assert got == {"n": 5, "total": 13, "v_min": -3, "v_max": 10}
     assert spark.read.parquet(out).count() == 5
+
+
+def test_files_are_named_at_the_commit(tmp_path):
+    from millrace.sinks import windowed
+
+    def rows(*pairs):
+        record = pa.array([{"v": v} for _, v in pairs], pa.struct([("v", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array([n for n, _ in pairs]), record], names=["name", "record"])
+
+    sink = windowed.WindowedFiles(str(tmp_path))
+    a, b = "2024/01/01/00-05--a", "2024/01/01/00-10--b%2Fc"
+    two = [sink.write(iter([rows((a, 1), (b, 2), (a, 3)), rows((a, 4))])), sink.write(iter([rows((a, 5))]))]
+    two[1].task = 1
+    sink.commit([*two, None], 0)
+    layout = lambda: {str(f.relative_to(tmp_path)): pq.ParquetFile(f).read()["v"].to_pylist() for f in tmp_path.rglob("*.parquet")}
+    first = {
+        f"{a}-pane-000000-00000-of-00002.parquet": [1, 3, 4], f"{a}-pane-000000-00001-of-00002.parquet": [5],
+        f"{b}-pane-000000-00000-of-00001.parquet": [2],
+    }
+    assert layout() == first
+    sink.commit([sink.write(iter([rows((a, 6))]))], 1)
+    assert layout() == first | {f"{a}-pane-000001-00000-of-00001.parquet": [6]}
+    # The first micro-batch runs again, as one task: one shard of it is left, and no second copy.
+    again = windowed.WindowedFiles(str(tmp_path))
+    again.commit([again.write(iter([rows((a, 1), (b, 2), (a, 3), (a, 4), (a, 5))]))], 0)
+    assert layout() == {
+        f"{a}-pane-000000-00000-of-00001.parquet": [1, 3, 4, 5], f"{b}-pane-000000-00000-of-00001.parquet": [2],
+        f"{a}-pane-000001-00000-of-00001.parquet": [6],
+    }
+    many = [(f"2024/02/02/00-{k:02d}--k", k) for k in range(40)]
+    sink.commit([sink.write(iter([rows(*many), rows(*many)]))], 2)
+    assert sum(v for name, vs in layout().items() if name.startswith("2024/02") for v in vs) == 2 * sum(range(40))
+    assert not list(tmp_path.glob("_drafts*"))
+
+
+def test_windowed_files_of_a_stream(spark):
+    from millrace.sinks import windowed
+
+    parts = [[("a/b", 10, 1), (None, 299, 2), ("a/b", 300, 3)], [("a/b", 20, 4), ("é", None, 5)]]
+    schema = "k string, s long, v long"
+    stream = J.stream_files(spark, drops(spark, parts, schema), schema, files_per_batch=1).withColumn("ts", F.timestamp_seconds("s"))
+    out = scratch_path(spark, "named")
+    J.run_available(windowed.windowed_files(stream, "ts", F.col("k"), out, J.new_checkpoint(spark), 300, shards=2))
+    read = spark.read.option("recursiveFileLookup", "true").parquet(out).select("v", F.col("_metadata.file_path").alias("f")).collect()
+    names = {r.v: r.f.split("/", 3)[-1].split("named-")[1].split("/", 1)[1].rpartition("-")[0][:-9] for r in read}
+    from urllib.parse import unquote
+
+    assert {v: unquote(n) for v, n in names.items()} == {
+        1: "1970/01/01/00-05--a%2Fb-pane-000000", 2: "1970/01/01/00-05--none-pane-000000", 3: "1970/01/01/00-10--a%2Fb-pane-000000",
+        4: "1970/01/01/00-05--a%2Fb-pane-000001", 5: "none/none--%C3%A9-pane-000001",
+    }
