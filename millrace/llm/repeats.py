@@ -24,6 +24,8 @@ STRETCH = 1 << 18
 OFTEN = 64
 #: Places of one gram up to which they are compared in one task.
 CROWD = 50_000
+#: Crowded grams that are sent to all tasks at most, and over how many tasks a gram's anchors are dealt beyond that.
+SENT, SALTS = 1_000_000, 64
 #: Contexts sorted together.
 TOGETHER = 100_000
 TEXT_BYTES = 64 << 20
@@ -284,6 +286,23 @@ def cut_out(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]
     return left, len(text) - len(left), runs
 
 
+def _marked(shared: DataFrame, crowd: int) -> DataFrame:
+    """The anchors with ``crowded``: whether their gram has more than ``crowd`` of them.
+
+    There is at most one crowded gram for every ``crowd`` anchors. They are counted, and up to ``SENT`` of them (16 MB)
+    go to all tasks; more meet the anchors in a join over which a gram's anchors are dealt by a salt.
+    """
+    counts = shared.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
+    crowded = written(counts.select("gram", F.lit(True).alias("crowded")), "crowded")
+    if crowded.count() <= SENT:
+        joined = shared.join(F.broadcast(crowded), "gram", "left")
+    else:
+        dealt = crowded.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = shared.withColumn("salt", F.pmod(F.xxhash64("dkey", "twin", "place"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(dealt, ["gram", "salt"], "left").drop("salt")
+    return joined.withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+
+
 def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, often: int) -> DataFrame:
     """For each distinct text of 100 bytes or more what its first document loses."""
     texts = _texts(rows, classes)
@@ -292,10 +311,7 @@ def _removed(rows: DataFrame, classes: DataFrame, keep_text: bool, crowd: int, o
         _shared_only, "gram long, dkey long, twin long, place long"
     )
     shared = written(shared, "anchors")
-    # At most one crowded gram for every ``crowd`` anchors; the join splits the anchors of one.
-    crowded = shared.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
-    crowded = crowded.select("gram", F.lit(True).alias("crowded"))
-    marked = shared.join(crowded, "gram", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    marked = _marked(shared, crowd)
     keys = ["dkey", "twin"]
     marks = marked.groupBy(*keys).agg(F.collect_list(F.struct("place", "gram", "crowded")).alias("marks"))
     contexts = texts.join(marks.hint("shuffle_hash"), keys).select("dkey", "twin", "marks", "text")

@@ -182,6 +182,13 @@ def test_repeats(spark, corpus):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == wanted
 
 
+def test_repeats_with_too_many_crowded_grams_to_send(spark, corpus, monkeypatch):
+    monkeypatch.setattr(repeats, "SENT", 0)
+    wanted = brute.removed(corpus)
+    got = repeats.removed_bytes(docs_of(spark, corpus), 2, 2).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == wanted
+
+
 def test_repeats_leave_the_columns(spark, corpus):
     wanted = brute.removed(corpus)
     frame = docs_of(spark, corpus)
