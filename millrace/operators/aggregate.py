@@ -205,3 +205,42 @@ MEAN = Combiner(
     result="double",
     add_all=_add_present,
 )
+
+
+@dataclass(frozen=True)
+class ColumnCombiner:
+    """A combiner said in columns: all of it runs in Spark's own partial and final aggregation.
+
+    ``add`` gives what a value puts into each part of the accumulator (null adds nothing), ``merge`` the built-in
+    aggregate that puts a part's pieces together, ``extract`` the result from the parts. A part without any piece is
+    null, unless its aggregate says otherwise.
+    """
+
+    add: Callable[[Column], dict[str, Column]]
+    merge: dict[str, Callable[[Column], Column]]
+    extract: Callable[[dict[str, Column]], Column]
+
+
+def combine_columns(df: DataFrame, keys: Sequence[str], value: str | Column, combiner: ColumnCombiner, name: str = "result") -> DataFrame:
+    """Applies the combiner per key, or to all rows without keys; then an empty input gives the result of no values.
+
+    Rows are folded in their tasks before the shuffle, so a hot key costs one accumulator for each task.
+    """
+    pieces = combiner.add(F.col(value) if isinstance(value, str) else value)
+    if set(pieces) != set(combiner.merge):
+        raise ValueError(f"parts to add {sorted(pieces)}, parts to merge {sorted(combiner.merge)}")
+    folded = df.groupBy(*keys).agg(*[combiner.merge[part](piece).alias(f"_part_{part}") for part, piece in pieces.items()])
+    return folded.select(*keys, combiner.extract({part: F.col(f"_part_{part}") for part in pieces}).alias(name))
+
+
+# The mean as in ``avg``: nulls are left out, NaN gives NaN, no values give null.
+MEAN_BY_COLUMNS = ColumnCombiner(
+    add=lambda v: {"total": v.cast("double"), "n": v},
+    merge={"total": F.sum, "n": F.count},
+    extract=lambda part: F.try_divide(part["total"], part["n"]),
+)
+
+# The sum of whole numbers, zero where there are none.
+SUM_FROM_ZERO = ColumnCombiner(
+    add=lambda v: {"total": v.cast("long")}, merge={"total": F.sum}, extract=lambda part: F.coalesce(part["total"], F.lit(0).cast("long"))
+)

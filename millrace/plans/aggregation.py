@@ -80,17 +80,28 @@ UNION ALL SELECT 'all', round(avg(l_quantity), 4) FROM lineitem
 """)
 def _(t):
     rows = t("lineitem").select("l_returnflag", "l_quantity")
-    keyed = A.combine_per_key(rows, ["l_returnflag"], "l_quantity", A.MEAN, "mean")
-    overall = A.combine_globally(rows, "l_quantity", A.MEAN, "mean").withColumn("l_returnflag", F.lit("all"))
+    keyed = A.combine_columns(rows, ["l_returnflag"], "l_quantity", A.MEAN_BY_COLUMNS, "mean")
+    overall = A.combine_columns(rows, [], "l_quantity", A.MEAN_BY_COLUMNS, "mean").withColumn("l_returnflag", F.lit("all"))
     return keyed.unionByName(overall).withColumn("mean", F.round("mean", 4))
 
 
 @query("agg_aggregate_by_key", _PROPER + "SELECT n, CAST(sum(d) AS BIGINT) AS divisor_sum FROM d GROUP BY n")
 def _(t):
     pairs = E.explode_divisors(_numbers(t), "n")
-    return A.aggregate_by_key(
-        pairs, ["n"], "divisor", 0, lambda acc, d: acc + int(d), lambda a, b: a + b, "bigint", "divisor_sum"
+    return A.combine_columns(pairs, ["n"], "divisor", A.SUM_FROM_ZERO, "divisor_sum")
+
+
+@query("agg_combinefn_python", """
+SELECT l_linestatus, round(avg(l_extendedprice), 4) AS mean, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY l_linestatus
+""")
+def _(t):
+    """Combiners whose add and merge are Python functions, for accumulators that columns cannot say."""
+    rows = t("lineitem").select("l_linestatus", "l_extendedprice", "l_linenumber")
+    means = A.combine_per_key(rows, ["l_linestatus"], "l_extendedprice", A.MEAN, "mean").withColumn("mean", F.round("mean", 4))
+    lines = A.aggregate_by_key(
+        rows, ["l_linestatus"], "l_linenumber", 0, lambda acc, d: acc + int(d), lambda a, b: a + b, "bigint", "lines"
     )
+    return means.join(lines, "l_linestatus")
 
 
 @query("agg_sum_per_key", """

@@ -88,10 +88,10 @@ def _from_text(t):
     return L.route_logs(parsed, F.coalesce(usable, F.lit(False)), F.col("log.severity"))
 
 
-FROM_TEXT = """
-SELECT stamp AS ts, message, 'processed' AS output FROM logs
+FROM_TEXT = f"""
+SELECT stamp AS ts, message, NULL AS line, 'processed' AS output FROM logs
 WHERE NOT mention_only AND severity IS NOT NULL AND message IS NOT NULL AND upper(severity) = 'ERROR'
-UNION ALL SELECT CASE WHEN NOT mention_only THEN stamp END, NULL, 'dead_letter' FROM logs
+UNION ALL SELECT CASE WHEN NOT mention_only THEN stamp END, NULL, {RAW}, 'dead_letter' FROM logs
 WHERE mention_only OR severity IS NULL OR message IS NULL
 """
 
@@ -101,7 +101,9 @@ def _(t):
     routed = _from_text(t)
     kept = routed.where(F.col("output") != L.SKIPPED)
     message = F.when(F.col("output") == L.PROCESSED, F.col("log.jsonPayload.message"))
-    return kept.select(F.col("log.timestamp").alias("ts"), message.alias("message"), "output")
+    # A dead letter keeps its raw line.
+    line = F.when(F.col("output") != L.PROCESSED, F.col("line"))
+    return kept.select(F.col("log.timestamp").alias("ts"), message.alias("message"), line.alias("line"), "output")
 
 
 @query("log_dlq_insert", f"""

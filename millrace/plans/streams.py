@@ -14,6 +14,7 @@ from millrace.operators import triggers as T
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
 from millrace.sinks.windowed import windowed_files
+from millrace.sources import messages
 from millrace.streaming import jobs as J
 from millrace.streaming import processors as P
 from millrace.streaming.lateness import panes_with_late_rows
@@ -344,3 +345,23 @@ def _(t):
     file = F.col("_metadata.file_path")
     named = rows.select(F.regexp_extract(file, name, 1).alias("close"), F.regexp_extract(file, name, 2).alias("key"), "event_id")
     return named.groupBy("close", "key").agg(F.count("*").alias("n"), F.sum("event_id").alias("events"))
+
+
+@query("stream_dedup_by_uuid", """
+SELECT md5('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS uuid, o_orderkey FROM orders
+""")
+def _(t):
+    """Messages get an id from their content when they are written; copies come in the same and in a later micro-batch."""
+    columns = ["o_orderkey", "o_orderstatus"]
+    sent = messages.with_id(t("orders").select(*columns), columns)
+    # All within the hour for which the ids are remembered.
+    sent = sent.withColumn("ts", F.timestamp_seconds(F.lit(1_000_000) + F.pmod("o_orderkey", F.lit(1800))))
+    root = scratch_path(t.spark, "messages")
+    first = sent.unionByName(sent.where(F.col("o_orderkey") % 5 == 0))
+    again = sent.where(F.col("o_orderkey") % 3 == 0)
+    for step, part in enumerate((first, again)):  # a file source takes files by their time of writing
+        part.repartition(FILES).write.parquet(f"{root}/step-{step}")
+    stream = J.stream_files(t.spark, f"{root}/*", sent.schema, files_per_batch=FILES)
+    once = messages.drop_repeated_stream(stream, "ts", "1 hour").select("uuid", "o_orderkey")
+    path = _collect(t, lambda out, checkpoint: J.append_files(once, out, checkpoint))
+    return t.spark.read.parquet(path)

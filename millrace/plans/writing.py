@@ -135,17 +135,19 @@ def _(t):
 
 
 @query("sink_table_dispositions", """
-SELECT 'first' AS step, count(*) AS n FROM customer UNION ALL SELECT 'appended', 2 * count(*) FROM customer
-UNION ALL SELECT 'refused', 2 * count(*) FROM customer UNION ALL SELECT 'truncated', count(*) FROM supplier
+WITH people AS (SELECT c_custkey AS id, c_name AS name FROM customer), twice AS (SELECT unnest([1, 2]))
+SELECT 'first' AS step, id, name FROM people UNION ALL SELECT 'appended', id, name FROM people, twice
+UNION ALL SELECT 'refused', id, name FROM people, twice UNION ALL SELECT 'truncated', s_suppkey, s_name FROM supplier
 """)
 def _(t):
+    """The table's rows after each write: to a new table, appended, refused as it has rows, and truncated."""
     table = f"people_{uuid.uuid4().hex[:12]}"
     people = t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     suppliers = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    steps = []
+    seen = scratch_path(t.spark, "sink-table-steps")
 
     def note(step):
-        steps.append((step, t.spark.table(table).count()))
+        t.spark.table(table).select("id", "name").write.parquet(f"{seen}/step={step}")
 
     tables.write_table(people, table, "empty", location=scratch_path(t.spark, "sink-table"))
     note("first")
@@ -157,7 +159,7 @@ def _(t):
         note("refused")
     tables.write_table(suppliers, table, "truncate")
     note("truncated")
-    return t.spark.createDataFrame(steps, "step string, n long")
+    return t.spark.read.schema("id long, name string, step string").parquet(seen).select("step", "id", "name")
 
 
 @query("sink_format_fn", "SELECT name, year, country FROM persons", uses=("persons",))

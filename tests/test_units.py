@@ -231,3 +231,24 @@ def test_partition_life_cycle(spark):
 
     seen = E.map_partitions(spark.range(5).coalesce(1), Log, "calls string")
     assert rows(seen) == [("setup,start,process",)]
+
+
+def test_combiners_by_column(spark):
+    from millrace.operators import aggregate as A
+
+    rows = [("a", 1.0), ("a", None), ("b", float("nan")), ("b", 2.0), (None, 3.0), (None, None), ("c", None), ("a", 2.5)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.result for r in A.combine_columns(frame, ["k"], "v", A.MEAN_BY_COLUMNS).collect()}
+    want = {r.k: r.m for r in frame.groupBy("k").agg(F.avg("v").alias("m")).collect()}
+    assert str(sorted(got.items(), key=str)) == str(sorted(want.items(), key=str))
+    assert A.combine_columns(frame.limit(0), [], "v", A.MEAN_BY_COLUMNS).collect()[0].result is None
+    assert A.combine_columns(frame.limit(0), [], "v", A.SUM_FROM_ZERO).first().result == 0
+    variance = A.ColumnCombiner(
+        add=lambda v: {"n": v, "s": v, "q": v * v},
+        merge={"n": F.count, "s": F.sum, "q": F.sum},
+        extract=lambda p: p["q"] / p["n"] - (p["s"] / p["n"]) ** 2,
+    )
+    some = frame.where("k = 'a'")
+    assert abs(A.combine_columns(some, [], "v", variance).first().result - some.agg(F.var_pop("v")).first()[0]) < 1e-9
+    with pytest.raises(ValueError):
+        A.combine_columns(frame, ["k"], "v", A.ColumnCombiner(lambda v: {"x": v}, {"y": F.sum}, lambda p: p["x"]))
