@@ -177,10 +177,8 @@ SELECT reference, o_orderkey, o_orderstatus FROM orders, (VALUES ('name'), ('par
 def _(t):
     name = _saved_orders(t, ["o_orderkey", "o_orderstatus"])
     parts = (t.spark.catalog.currentCatalog(), t.spark.catalog.currentDatabase(), name)
-    by_name = tables.rows_as_json(tables.read_table(t.spark, name)).withColumn("reference", F.lit("name"))
-    by_parts = tables.rows_as_json(tables.read_table(t.spark, *parts)).withColumn("reference", F.lit("parts"))
-    row = F.from_json("row", "o_orderkey long, o_orderstatus string").alias("r")
-    return by_name.unionByName(by_parts).select("reference", row).select("reference", "r.*")
+    by_name = tables.read_table(t.spark, name).withColumn("reference", F.lit("name"))
+    return by_name.unionByName(tables.read_table(t.spark, *parts).withColumn("reference", F.lit("parts")))
 
 
 @query("src_typed_table", "SELECT o_orderkey AS station_id, o_orderstatus AS status FROM orders")
