@@ -305,17 +305,14 @@ SELECT 'query' AS reader, c_custkey, c_name FROM customer
 UNION ALL SELECT 'table', c_custkey, c_name FROM customer
 """)
 def _(t):
-    root = scratch_path(t.spark, "versions")
+    path = scratch_path(t.spark, "snapshot")
     people = t("customer").select("c_custkey", "c_name", "c_acctbal")
-    tables.publish_version(people, root)
-    pinned = tables.latest_version(t.spark, root)
-    # A later write does not show in readers of the pinned version.
-    tables.publish_version(people.withColumn("c_name", F.lit("later")), root)
-    by_query = tables.read_query(
-        t.spark, "SELECT 'query' AS reader, c_custkey, c_name FROM {c}", c=tables.read_version(t.spark, root, pinned)
-    )
-    by_columns = tables.read_version(t.spark, root, pinned, ["c_custkey", "c_name"])
-    return by_query.unionByName(by_columns.withColumn("reader", F.lit("table")))
+    people.write.parquet(path)
+    now = tables.pinned(t.spark, path)
+    # Rows that come later do not show in readers of the snapshot.
+    people.withColumn("c_name", F.lit("later")).write.mode("append").parquet(path)
+    by_query = tables.read_query(t.spark, "SELECT 'query' AS reader, c_custkey, c_name FROM {c}", c=now)
+    return by_query.unionByName(now.select(F.lit("table").alias("reader"), "c_custkey", "c_name"))
 
 
 @query("entity_properties_render", """

@@ -51,26 +51,10 @@ def scan_pushed_down(df: DataFrame, fields: list[str], restriction: str) -> Data
     return df.where(restriction).select(*fields)
 
 
-def publish_version(df: DataFrame, root: str) -> int:
-    """Writes the rows as the next immutable version under ``root``; returns its number."""
-    spark = df.sparkSession
-    version = latest_version(spark, root) + 1
-    df.write.parquet(f"{root}/version={version}")
-    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{root}/_manifest")
-    return version
-
-
-def latest_version(spark: SparkSession, root: str) -> int:
-    manifest = spark.read.schema("version int")
-    try:
-        return manifest.parquet(f"{root}/_manifest").agg(F.max("version")).first()[0] or 0
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return 0
-        raise
-
-
-def read_version(spark: SparkSession, root: str, version: int, fields: list[str] | None = None) -> DataFrame:
-    """Rows of one version: all readers given the same number see the same snapshot."""
-    rows = spark.read.parquet(f"{root}/version={version}")
-    return rows.select(*fields) if fields else rows
+def pinned(spark: SparkSession, path: str) -> DataFrame:
+    """The table folder as it is now: every reader made from this DataFrame sees the same files.
+
+    Spark lists a folder once, when the DataFrame is made; files appended later do not show in it, also when it is
+    read again. Rows are appended by the sinks here, never changed in place.
+    """
+    return spark.read.parquet(path)

@@ -268,3 +268,15 @@ def test_windowed_files_of_a_stream(spark):
         1: "1970/01/01/00-05--a%2Fb-pane-000000", 2: "1970/01/01/00-05--none-pane-000000", 3: "1970/01/01/00-10--a%2Fb-pane-000000",
         4: "1970/01/01/00-05--a%2Fb-pane-000001", 5: "none/none--%C3%A9-pane-000001",
     }
+
+
+def test_a_snapshot_stays_while_rows_are_appended(spark):
+    from millrace.sources import tables
+
+    path = scratch_path(spark, "snapshot")
+    spark.range(5).write.parquet(path)
+    now = tables.pinned(spark, path)
+    for n in (3, 4):
+        spark.range(n).write.mode("append").parquet(path)
+        assert now.count() == now.where("id >= 0").count() == 5
+    assert tables.pinned(spark, path).count() == 12
