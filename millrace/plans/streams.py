@@ -281,7 +281,7 @@ def _(t):
     delay = F.when(F.col("ride_status") == "enroute", 2).otherwise(1)
     batches = P.stream_batches_by_time(stream, ["ride_status", "shard"], F.col("event_id"), delay)
     out = scratch_path(t.spark, "stream-out")
-    writer = J.append_files(batches, out, J.new_checkpoint(t.spark)).trigger(processingTime="500 milliseconds")
+    writer = J.append_files(batches, out, J.new_checkpoint(t.spark)).trigger(processingTime="3 seconds")
     running = writer.start()
     # Every timer is due two seconds after its micro-batch at the latest.
     J.stop_when_idle(running, idle_seconds=8, poll_seconds=0.25)

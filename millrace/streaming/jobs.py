@@ -51,7 +51,8 @@ def run_triggered(writer: DataStreamWriter) -> StreamingQuery:
 def stop_when_idle(query: StreamingQuery, idle_seconds: float = 3600, poll_seconds: float = 10) -> None:
     """Stop policy: ends the query once nothing new has come for ``idle_seconds``.
 
-    A start, and a micro-batch with new rows that is still running, are not idle, however long they take.
+    A start, and a micro-batch with new rows that is still running, are not idle, however long they take. One without
+    new rows, as timers cause, is let end if that takes no longer than ``idle_seconds`` more.
     """
     last_rows = time.monotonic()
     seen = -1
@@ -62,7 +63,8 @@ def stop_when_idle(query: StreamingQuery, idle_seconds: float = 3600, poll_secon
         status = query.status
         if status["isDataAvailable"] or status["message"].startswith("Initializing"):
             last_rows = time.monotonic()
-        if time.monotonic() - last_rows >= idle_seconds:
+        idle = time.monotonic() - last_rows
+        if idle >= 2 * idle_seconds or (idle >= idle_seconds and not status["isTriggerActive"]):
             query.stop()
             return
         time.sleep(poll_seconds)
