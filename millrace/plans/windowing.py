@@ -60,7 +60,7 @@ WHERE rn = 1
 """, uses=("rides",))
 def _(t):
     sized = W.windows_by_value(t.view("rides"), "ts", F.col("passenger_count") * 600)
-    sampled = sample_per_key(sized, ["ride_id", "window_start", "window_end"], [F.col("event_id")])
+    sampled = sample_per_key(sized, ["ride_id", "window_start", "window_end"], [F.col("event_id").asc_nulls_last()])
     return sampled.select("ride_id", "window_start", "window_end", "event_id")
 
 

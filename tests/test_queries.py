@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -49,3 +50,16 @@ def test_samples_are_cut_before_the_shuffle(spark, sf_dir):
 def test_events_need_no_single_partition(spark, sf_dir):
     for name in ("win_fixed", "win_session", "state_batches_by_count", "win_custom_by_value"):
         assert "SinglePartition" not in plan(spark, sf_dir, name)
+
+
+def test_custom_windows_round_times_and_take_null_ids_last(spark, tmp_path):
+    times = ["2024-01-01 00:09:59.999499", "2024-01-01 00:09:59.9995", "1969-12-31 23:49:59.9995", "1969-12-31 23:50:00.0005", "1960-05-05 05:05:05"]
+    made = [(None if i % 3 == 1 else i, t, i % 2, '{"k": %d}' % k) for i, (t, k) in enumerate((t, k) for t in times for k in (1, 2, 8))]
+    frame = spark.createDataFrame(made, "event_id long, ts string, user_id long, props string")
+    typed = frame.selectExpr("event_id", "cast(ts AS timestamp_ntz) AS ts", "user_id", "'view' AS event_type", "1.5D AS value", "props")
+    typed.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    here = duckdb.connect()
+    here.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    problem, found = compare(spark, here, QUERIES["win_custom_by_value"], ORACLES["win_custom_by_value"], str(tmp_path))
+    assert problem is None
+    assert found == 10
