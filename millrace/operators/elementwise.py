@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, MapType, StructField, StructType, VariantType
 
 from millrace.functions import numbers, text
 
@@ -32,9 +34,60 @@ def split_words(df: DataFrame, value: str, name: str = "word") -> DataFrame:
     return df.withColumn(name, F.explode(text.whitespace_words(F.col(value)))).drop(value)
 
 
+NEAR_BITS = 16
+PIECE_PAIRS = 1_000_000
+
+
 def explode_divisors(df: DataFrame, n: str, name: str = "divisor") -> DataFrame:
-    """One row per divisor of ``n``."""
-    return df.withColumn(name, F.explode(numbers.divisors(F.col(n))))
+    """One row per divisor of ``n``, a whole number; none where it is null or below 1.
+
+    Ranges of ``n`` go to the tasks, a frequent number to several, and each Arrow batch finds the divisors of numbers
+    that lie near each other together. So the work grows with the rows, their divisors and the square root of ``n`` once
+    for each batch; numbers far from all others cost their own square root.
+    """
+    kept = [field for field in df.schema.fields if field.name != name]
+    hashed = [field.name for field in df.schema.fields if not isinstance(field.dataType, (MapType, VariantType))]
+    near = df.where(F.col(n) > 0).repartitionByRange(F.col(n), F.xxhash64(*hashed)).sortWithinPartitions(n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.select([field.name for field in kept])
+            values = batch.column(n).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            distinct, first, which = np.unique(values, return_index=True, return_inverse=True)
+            ends = [*(np.flatnonzero(np.diff(distinct >> NEAR_BITS)) + 1).tolist(), len(distinct)]
+            begin, found, held = 0, [], 0
+            for start, end in zip([0, *ends], ends):
+                place, divisor = numbers.divisor_pairs(distinct[start:end])
+                found.append((place + (start - begin), divisor))
+                held += len(divisor)
+                if held < PIECE_PAIRS and end < len(distinct):
+                    continue
+                # The rows of the numbers begin … end follow each other, as the batch is sorted.
+                top = first[end] if end < len(distinct) else batch.num_rows
+                yield from paired(rows.slice(first[begin], top - first[begin]), which[first[begin] : top] - begin, found, end - begin)
+                begin, found, held = end, [], 0
+
+    def paired(rows: pa.RecordBatch, which: np.ndarray, found: list, count: int) -> Iterator[pa.RecordBatch]:
+        """Each row once for each divisor of its number, in pieces of about ``PIECE_PAIRS`` rows."""
+        place, divisor = (np.concatenate(part) for part in zip(*found))
+        divisor = divisor[np.argsort(place, kind="stable")]
+        each = np.bincount(place, minlength=count)
+        starts = np.cumsum(each) - each
+        times = each[which]
+        piece = np.cumsum(times) // PIECE_PAIRS
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(which)]
+        for begin, end in zip(cuts, cuts[1:]):
+            some = times[begin:end]
+            row = np.repeat(np.arange(begin, end), some)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
+            out = rows.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [*out.columns, pa.array(divisor[starts[which[row]] + within], pa.int64())], names=[*out.schema.names, name]
+            )
+
+    return near.mapInArrow(run, StructType([*kept, StructField(name, LongType())]))
 
 
 def tagged(df: DataFrame, outputs: Mapping[str, Column], tag: str = "tag") -> DataFrame:

@@ -1,5 +1,7 @@
 """Operators on small literal inputs with known results."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,37 @@ def test_divisors_and_primes(spark):
     assert rows(sums.where("s = 2 * n").select("n")) == [(6,), (28,)]
 
 
+def test_divisors_of_repeated_far_and_missing_numbers(spark, monkeypatch):
+    some = [None, 0, -6, 1, 2, 12, 12, 12, 97, 65_535, 65_536, 65_537, 10**6, 10**6 + 3, 999_999_000_000, (1 << 40) - 1]
+    monkeypatch.setattr(E, "PIECE_PAIRS", 5)
+    for kind, top in (("long", 1 << 62), ("int", 1 << 31)):
+        values = [(v, i) for i, v in enumerate(some) if v is None or v < top]
+        frame = spark.createDataFrame(values, f"n {kind}, i int")
+        for parts in (1, 3):
+            got = E.explode_divisors(frame.repartition(parts), "n")
+            assert [f.dataType.simpleString() for f in got.schema] == ["bigint" if kind == "long" else "int", "int", "bigint"]
+            want = [(n, i, d) for n, i in values if n and n > 0 for d in divisors_of(n)]
+            assert rows(got) == sorted(want)
+
+
+def divisors_of(n):
+    low = [d for d in range(1, int(n**0.5) + 2) if n % d == 0 and d * d <= n]
+    return {*low, *(n // d for d in low)}
+
+
+def test_divisors_of_neighbours_are_found_together(spark):
+    """Five thousand numbers with a million candidates each: one by one they take minutes."""
+    begin = time.monotonic()
+    first = 10**12
+    pairs = E.explode_divisors(spark.range(first, first + 5000).select(F.col("id").alias("n")), "n")
+    got = {r.n: (r.s, r.c) for r in pairs.groupBy("n").agg(F.sum("divisor").alias("s"), F.count("*").alias("c")).collect()}
+    assert time.monotonic() - begin < 60
+    assert len(got) == 5000
+    for n in (first, first + 39, first + 2520, first + 4999):
+        exact = divisors_of(n)
+        assert got[n] == (sum(exact), len(exact))
+
+
 def test_combiner_mean_any_split(spark):
     numbers_ = E.create_range(spark, 10_000)
     for parts in (1, 7):
