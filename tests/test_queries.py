@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
@@ -63,3 +64,13 @@ def test_custom_windows_round_times_and_take_null_ids_last(spark, tmp_path):
     problem, found = compare(spark, here, QUERIES["win_custom_by_value"], ORACLES["win_custom_by_value"], str(tmp_path))
     assert problem is None
     assert found == 10
+
+
+def test_perfect_numbers_among_many_neighbours(spark, tmp_path):
+    """Not by a trial of each key, of which there are 20,000 with 5,800 candidates each."""
+    keys = spark.range(33_540_000, 33_560_000).select(F.col("id").alias("o_orderkey"))
+    keys.write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["agg_perfect_numbers"](spark, str(tmp_path))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "sequence(" not in text
+    assert [tuple(r) for r in found.collect()] == [(33_550_336, 67_100_672)]
