@@ -21,11 +21,23 @@ from millrace.streaming.lateness import panes_with_late_rows
 
 
 GROUPS, FILES = 3, 2
+ROWS_PER_FILE, MANY_ROWS = 1_000_000, 1000
+FILES_AT_ONCE = 16
 AHEAD = "INTERVAL 10 YEARS"
 
 
+def _files_for(*parts):
+    """Into how many files, one by each task, every part is written: as the largest part has rows, ``FILES`` at least.
+
+    A micro-batch is to be one part, and a task without rows writes no file. So the smallest part must have many rows for
+    each of its files too.
+    """
+    counts = [part.count() for part in parts]
+    return max(FILES, min(-(-max(counts) // ROWS_PER_FILE), min(counts) // MANY_ROWS))
+
+
 def _grouped_events(t):
-    """The events in ``GROUPS`` groups of ``FILES`` files by time, and a late drop-off ten years ahead, in folders.
+    """The events in ``GROUPS`` groups of as many files by time, and a late drop-off ten years ahead, in folders.
 
     A file source takes files by their time of writing, so the folders are written one after the other.
     """
@@ -34,11 +46,15 @@ def _grouped_events(t):
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     cuts = events.agg(F.percentile_approx(seconds, [k / GROUPS for k in range(1, GROUPS)]).alias("cuts")).first().cuts or []
     bounds = [None, *cuts, None]
-    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+    groups = []
+    for low, high in zip(bounds, bounds[1:]):
         group = events if low is None else events.where(seconds > low)
         # An event without a time goes with the first group.
         group = group if high is None else group.where(F.coalesce(seconds <= high, F.lit(low is None)))
-        group.repartition(FILES).write.parquet(f"{root}/group-{k}")
+        groups.append(group)
+    files = _files_for(*groups)
+    for k, group in enumerate(groups):
+        group.repartition(files).write.parquet(f"{root}/group-{k}")
     last = events.where("event_type = 'purchase'").orderBy(F.col("ts").desc(), "event_id").limit(1)
     last.withColumn("ts", (F.col("ts") + F.expr(AHEAD)).cast(events.schema["ts"].dataType)).write.parquet(f"{root}/last")
     return root
@@ -54,7 +70,8 @@ class _Streamed(Tables):
             raise ValueError(f"{name} does not come as a stream")
         schema = self.spark.read.parquet(f"{self.directory}/{name}.parquet").schema
         root = _grouped_events(Tables(self.spark, self.directory))
-        return J.stream_files(self.spark, f"{root}/*" if self.closing else f"{root}/group-*", schema, files_per_batch=FILES)
+        files = max(FILES, len(self.spark.read.schema(schema).parquet(f"{root}/group-0").inputFiles()))
+        return J.stream_files(self.spark, f"{root}/*" if self.closing else f"{root}/group-*", schema, files_per_batch=files)
 
 
 class _Open(_Streamed):
@@ -208,10 +225,11 @@ def _sharded(t):
     """Rides as (ride_status, shard, event_id), and behind them a null for each buffer, which releases the rest."""
     source = scratch_path(t.spark, "sharded")
     rides = t.view("rides").select("ride_status", F.pmod("event_id", F.lit(SHARDS)).alias("shard"), "event_id")
-    rides.repartition(FILES).write.parquet(f"{source}/rides")
+    files = _files_for(rides)
+    rides.repartition(files).write.parquet(f"{source}/rides")
     ends = rides.select("ride_status", "shard").distinct().withColumn("event_id", F.lit(None).cast("long"))
     ends.coalesce(1).write.parquet(f"{source}/ends")
-    return J.stream_files(t.spark, f"{source}/*", rides.schema, files_per_batch=FILES)
+    return J.stream_files(t.spark, f"{source}/*", rides.schema, files_per_batch=files)
 
 
 @query("stream_batches_by_count", f"""
@@ -259,11 +277,13 @@ def _(t):
     behind = F.when(F.col("event_id") % 20 == 7, 2).when(F.col("event_id") % 10 == 3, 1).otherwise(0)
     arrived = rides.withColumn("batch", F.least(F.lit(BATCHES - 1), part + behind))
     root = scratch_path(t.spark, "arrived")
-    for batch in range(BATCHES):  # a file source takes files by their time of writing
-        arrived.where(F.col("batch") == batch).drop("batch").repartition(FILES).write.parquet(f"{root}/batch-{batch}")
+    batches = [arrived.where(F.col("batch") == batch).drop("batch") for batch in range(BATCHES)]
+    files = _files_for(*batches)
+    for batch, part in enumerate(batches):  # a file source takes files by their time of writing
+        part.repartition(files).write.parquet(f"{root}/batch-{batch}")
     ahead = rides.orderBy(F.col("ts").desc(), "event_id").limit(1).withColumn("ts", F.col("ts") + F.expr(AHEAD))
     ahead.write.parquet(f"{root}/last")
-    stream = J.stream_files(t.spark, f"{root}/*", rides.schema, files_per_batch=FILES)
+    stream = J.stream_files(t.spark, f"{root}/*", rides.schema, files_per_batch=files)
     panes = panes_with_late_rows(stream, ["ride_status"], "ts", "passenger_count", WINDOW_H * 3600, LATENESS_H * 3600)
     path = _collect(t, lambda out, checkpoint: J.append_files(panes, out, checkpoint))
     return t.spark.read.schema(panes.schema).parquet(path)
@@ -276,8 +296,9 @@ def _(t):
     """Buffers whose first element sets a processing-time timer: when the stream is stopped, all have been released."""
     rides = t.view("rides").select("ride_status", F.pmod("event_id", F.lit(SHARDS)).alias("shard"), "event_id")
     source = scratch_path(t.spark, "sharded")
-    rides.repartition(FILES * 2).write.parquet(source)
-    stream = J.stream_files(t.spark, source, rides.schema, files_per_batch=FILES)
+    files = _files_for(rides)
+    rides.repartition(files * 2).write.parquet(source)
+    stream = J.stream_files(t.spark, source, rides.schema, files_per_batch=files)
     delay = F.when(F.col("ride_status") == "enroute", 2).otherwise(1)
     batches = P.stream_batches_by_time(stream, ["ride_status", "shard"], F.col("event_id"), delay)
     out = scratch_path(t.spark, "stream-out")
@@ -351,7 +372,10 @@ def _(t):
 SELECT md5('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS uuid, o_orderkey FROM orders
 """)
 def _(t):
-    """Messages get an id from their content when they are written; copies come in the same and in a later micro-batch."""
+    """Messages get an id from their content when they are written; copies come in the same and in a later micro-batch.
+
+    Files and micro-batches are bounded in rows. Where one ends does not matter, as no message is late.
+    """
     columns = ["o_orderkey", "o_orderstatus"]
     sent = messages.with_id(t("orders").select(*columns), columns)
     # All within the hour for which the ids are remembered.
@@ -359,9 +383,11 @@ def _(t):
     root = scratch_path(t.spark, "messages")
     first = sent.unionByName(sent.where(F.col("o_orderkey") % 5 == 0))
     again = sent.where(F.col("o_orderkey") % 3 == 0)
+    files = []
     for step, part in enumerate((first, again)):  # a file source takes files by their time of writing
-        part.repartition(FILES).write.parquet(f"{root}/step-{step}")
-    stream = J.stream_files(t.spark, f"{root}/*", sent.schema, files_per_batch=FILES)
+        files.append(_files_for(part))
+        part.repartition(files[-1]).write.parquet(f"{root}/step-{step}")
+    stream = J.stream_files(t.spark, f"{root}/*", sent.schema, files_per_batch=min(files[0], FILES_AT_ONCE))
     once = messages.drop_repeated_stream(stream, "ts", "1 hour").select("uuid", "o_orderkey")
     path = _collect(t, lambda out, checkpoint: J.append_files(once, out, checkpoint))
     return t.spark.read.parquet(path)

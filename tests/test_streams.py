@@ -146,3 +146,25 @@ def test_groups_of_events_are_a_partition(spark, tmp_path):
     frame.write.parquet(str(tmp_path / "events.parquet"))
     groups = spark.read.parquet(_grouped_events(Tables(spark, str(tmp_path))) + "/group-*")
     assert sorted(r.event_id for r in groups.collect()) == list(range(len(rows)))
+
+
+def test_written_files_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """What a task writes and a micro-batch takes stays bounded, and a micro-batch is still one part of the events."""
+    from millrace.plans import streams
+    from millrace.plans.registry import all_queries
+
+    assert streams._files_for(spark.range(10)) == streams.FILES
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 100)
+    monkeypatch.setattr(streams, "MANY_ROWS", 10)
+    monkeypatch.setattr(streams, "FILES_AT_ONCE", 4)
+    assert streams._files_for(spark.range(950), spark.range(1000)) == 10
+    assert streams._files_for(spark.range(15), spark.range(1000)) == streams.FILES
+    spark.range(1000).selectExpr("id AS o_orderkey", "'O' AS o_orderstatus").write.parquet(str(tmp_path / "orders.parquet"))
+    read = []
+    plain = streams.J.stream_files
+    monkeypatch.setattr(streams.J, "stream_files", lambda s, path, *a, **k: read.append((path, k["files_per_batch"])) or plain(s, path, *a, **k))
+    once = all_queries()["stream_dedup_by_uuid"](spark, str(tmp_path))
+    assert sorted(r.o_orderkey for r in once.collect()) == list(range(1000))
+    path, at_once = read.pop()
+    first = spark.read.parquet(path.replace("*", "step-0"))
+    assert at_once == 4 and first.count() == 1200 and len(first.inputFiles()) == 12
